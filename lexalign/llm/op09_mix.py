@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import table, written
+from .common import small_batches, table, written
 
 WEIGHTS, BUDGET, MOST = (3, 1, 2), 1.5, 2
 BLOCK_WORDS, SHARDS, SEED = 128, 16, 20
@@ -86,10 +86,10 @@ def _slots_to_blocks(seed: int):
     return run
 
 
-def plan(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = SEED, weights: tuple = WEIGHTS) -> tuple[DataFrame, DataFrame]:
+def plan(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = SEED, weights: tuple = WEIGHTS, keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """The mix: (placed, pieces).
 
-    placed: all columns of docs with size (words), sid, start (place of the first word in its source's stream),
+    placed: the columns keep (by default all) of docs with size (words), sid, start (place of the first word in its source's stream),
     source_size and target. pieces: sid, start, from_word, to_word (within the document), block, out_shard, one row
     for each time that the mix takes those words.
 
@@ -103,8 +103,8 @@ def plan(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS,
     """
     spark = docs.sparkSession
     added = ("size", "sid", "start", "source_size", "target", "_source", "_chunk", "_order")
-    kept = [c for c in docs.columns if c not in added]
-    own = docs.select(*kept, F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long").alias("size"))
+    kept = [c for c in keep or docs.columns if c not in added]
+    own = docs.select(*dict.fromkeys([*kept, "doc_id", "source"]), F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long").alias("size"))
     own = own.withColumn("_order", F.xxhash64(F.lit(seed), "doc_id")).withColumn("_chunk", F.pmod("_order", F.lit(CHUNKS)).cast("int"))
     chunks = own.groupBy("source", "_chunk").agg(F.sum("size").alias("n"))
     chunks = written(spark, chunks, "mix-chunks")
@@ -139,15 +139,63 @@ def plan(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS,
     return placed, of.join(picks, ["sid", "block"])
 
 
-def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = SEED, keep: list[str] | None = None) -> DataFrame:
     """plan()'s placed rows with taken, the words of each document that the mix takes, repeats counted."""
-    placed, pieces = plan(docs, block_words, shards, seed)
+    placed, pieces = plan(docs, block_words, shards, seed, keep=keep)
     taken = pieces.groupBy("sid", "start").agg(F.sum(F.col("to_word") - F.col("from_word")).alias("taken"))
     # a document without words shares its start with the next one
     got = placed.join(taken, ["sid", "start"], "left")
     return got.withColumn("taken", F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(0).cast("long"))
 
 
+def cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """The words of the spans [from, to) with the text between them as it was; spans that don't touch are set in lines."""
+    joined: list[list[int]] = []
+    for a, b in sorted(spans):
+        if joined and a <= joined[-1][1]:
+            joined[-1][1] = max(b, joined[-1][1])
+        else:
+            joined.append([a, b])
+    raw = np.frombuffer(text, np.uint8)
+    word = (raw != 32) & ((raw < 9) | (raw > 13))
+    step = np.diff(np.concatenate(([False], word, [False])).astype(np.int8))
+    first, last = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    if joined == [[0, len(first)]]:
+        return text
+    return b"\n".join(text[first[a] : last[b - 1]] for a, b in joined)
+
+
+def mixed_texts(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
+    """Columns of docs (doc_id, text, source, others), a row for each round in which the mix takes words of a document.
+
+    The first round has all words taken once or more, the second those taken twice; text holds just these words, and
+    n_chars, where docs have it, their characters. Rows that repeat a doc_id and its text are taken as often as the
+    mix takes all of them.
+    """
+    own = docs.withColumn("_text", F.xxhash64("text"))
+    placed, pieces = plan(own, block_words, shards, seed, keep=["doc_id", "_text"])
+    times = pieces.groupBy("sid", "start", "from_word", "to_word").agg(F.count("*").cast("int").alias("times"))
+    rounds = times.select("sid", "start", F.struct("from_word", "to_word").alias("span"), F.explode(F.sequence(F.lit(1), F.col("times"))).alias("round"))
+    rounds = rounds.groupBy("sid", "start", "round").agg(F.collect_list("span").alias("spans"))
+    of = placed.where("size > 0").select("sid", "start", F.col("doc_id").alias("_id"), F.col("_text").alias("_t"))
+    lists = of.join(rounds, ["sid", "start"]).groupBy("_id", "_t").agg(F.collect_list("spans").alias("rounds"))
+    got = own.dropDuplicates(["doc_id", "_text"]).join(lists, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_t")))
+    got = got.select(*docs.columns, F.explode("rounds").alias("_spans"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cols = dict(zip(b.schema.names, b.columns, strict=True))
+            spans = [[(s["from_word"], s["to_word"]) for s in x] for x in cols.pop("_spans").to_pylist()]
+            texts = [cut(t, s).decode() for t, s in zip(cols["text"].cast(pa.binary()).to_pylist(), spans, strict=True)]
+            cols["text"] = pa.array(texts, pa.string())
+            if "n_chars" in cols:
+                cols["n_chars"] = pa.array([len(t) for t in texts], pa.int64()).cast(cols["n_chars"].type)
+            yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
+
+    small_batches(docs.sparkSession)
+    return got.mapInArrow(run, docs.schema)
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return out.select("doc_id", "size", "source_size", "target", "taken")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import op05_lines, op06_decontaminate, op08_reshard, op09_mix, op10_simhash
+from . import op03_toxicity, op05_lines, op06_decontaminate, op07_quality, op08_reshard, op09_mix, op10_simhash
 
 
 def queries() -> dict:
     return {
+        "op3_toxicity": op03_toxicity.op3_toxicity,
         "op5_line_dedup": op05_lines.op5_line_dedup,
         "op6_decontaminate": op06_decontaminate.op6_decontaminate,
+        "op7_quality": op07_quality.op7_quality,
         "op8_reshard": op08_reshard.op8_reshard,
         "op9_mix": op09_mix.op9_mix,
         "op10_simhash": op10_simhash.op10_simhash,
