@@ -136,7 +136,8 @@ def plan(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS,
     picks = asked.repartition("sid", "first").mapInArrow(_slots_to_blocks(seed), "sid int, block long, out_shard int")
     of = placed.where("size > 0").select("sid", "start", "size", F.explode(F.expr(f"sequence(start div {block_words}, (start + size - 1) div {block_words})")).alias("block"))
     of = of.select("sid", "start", "block", F.greatest(F.lit(0), F.col("block") * block_words - F.col("start")).alias("from_word"), F.least(F.col("size"), (F.col("block") + 1) * block_words - F.col("start")).alias("to_word"))
-    return placed, of.join(picks, ["sid", "block"])
+    # the planner can't see how many slots the ranges unfold to, and would broadcast them
+    return placed, of.join(picks.hint("merge"), ["sid", "block"])
 
 
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS, seed: int = SEED, keep: list[str] | None = None) -> DataFrame:
