@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import op02_ann, op03_toxicity, op05_lines, op06_decontaminate, op07_quality, op08_reshard, op09_mix, op10_simhash
+from . import op01_licenses, op02_ann, op03_toxicity, op05_lines, op06_decontaminate, op07_quality, op08_reshard, op09_mix, op10_simhash
 
 
 def queries() -> dict:
     return {
+        "op1_licenses": op01_licenses.op1_licenses,
         "op2_ann": op02_ann.op2_ann,
         "op3_toxicity": op03_toxicity.op3_toxicity,
         "op5_line_dedup": op05_lines.op5_line_dedup,
@@ -20,6 +21,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict:
     return {
+        "op1_licenses": op01_licenses.ORACLE,
         "op2_ann": op02_ann.ORACLE,
         "op5_line_dedup": op05_lines.ORACLE,
         "op6_decontaminate": op06_decontaminate.ORACLE,
