@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from .common import SPACE_CHARS, ascii_lower, table
 
 MIN_CHARS, MIN_DOCS = 40, 5
+#: Parts that the occurrences of a line are dealt to when they meet the shared lines.
+SALTS = 32
 NO_ID = -(2**63)
 
 
@@ -30,8 +32,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     of docs play no part.
 
     Counts are combined before the shuffle, so a line that a third of the documents hold costs one row a task. The
-    join of occurrences with frequent lines is an equi-join whose large partitions the planner splits. Texts are
-    shuffled once, to meet the positions of their dropped lines.
+    shared lines are copied to SALTS parts and their occurrences dealt to these by document, so that its occurrences
+    do not meet in one task either. Texts are shuffled once, to meet the positions of their dropped lines.
     """
     own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     own = own.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_text": F.xxhash64("text")})
@@ -46,7 +48,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
         .where(F.col("n") >= min_docs)
         .select("h1", "h2", "keeper")
     )
-    dropped = keys.join(shared, ["h1", "h2"]).where(F.col("_id") < F.col("keeper")).groupBy("_id", "_text").agg(F.collect_set("pos").alias("gone"))
+    shared = shared.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    keys = keys.withColumn("salt", F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int"))
+    dropped = keys.join(shared, ["h1", "h2", "salt"]).where(F.col("_id") < F.col("keeper")).groupBy("_id", "_text").agg(F.collect_set("pos").alias("gone"))
     both = own.join(dropped, ["_id", "_text"], "left").select("doc_id", F.split("text", "\n", -1).alias("lines"), F.coalesce("gone", F.array().cast("array<int>")).alias("gone"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     return both.select(
