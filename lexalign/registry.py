@@ -1,9 +1,13 @@
 """All queries of the library proper with the SQL that states their results."""
 
+from __future__ import annotations
+
+from lexalign.plans.queries import QUERIES, SQL
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict:
-    return {}
+    return dict(SQL)
