@@ -263,7 +263,7 @@ def regulatory_records(spark, d):
 @query("""WITH u AS (SELECT l_orderkey, l_linenumber, CASE l_returnflag WHEN 'A' THEN 'approved' WHEN 'R' THEN 'not_approved' END AS st, l_linenumber % 5 = 4 AS rejected, l_quantity < 5 AS subst, l_quantity > 10 AS low FROM lineitem),
  x AS (SELECT *, CASE WHEN rejected OR st IS NULL THEN 2 WHEN st = 'not_approved' THEN 2 WHEN low THEN 0 ELSE 1 END AS risk, CASE WHEN rejected THEN '' WHEN st IS NULL THEN 'Unknown' WHEN st = 'approved' THEN 'Approved' ELSE 'Not approved' END AS label FROM u)
  SELECT l_orderkey, bool_and(label = 'Approved') AS product_is_approved, ['low', 'medium', 'high'][max(risk) + 1] AS eu_regulatory_risk_flag, bool_or(NOT rejected AND st IS NOT NULL AND subst) AS eu_candidate_for_substitution, bool_and(NOT rejected AND st IS NOT NULL AND low) AS eu_is_low_risk,
-   coalesce(string_agg(label, ' | ' ORDER BY l_linenumber) FILTER (label <> ''), '') AS eu_statuses_final FROM x GROUP BY l_orderkey""")
+   coalesce(string_agg(label, ' | ' ORDER BY l_linenumber, label) FILTER (label <> ''), '') AS eu_statuses_final FROM x GROUP BY l_orderkey""")
 def rolled_up(spark, d):
     li = t(spark, d, "lineitem")
     st = F.when(F.col("l_returnflag") == "A", "approved").when(F.col("l_returnflag") == "R", "not_approved")
@@ -298,15 +298,15 @@ def wide_slots(spark, d):
     return review.wide_slots(li, "l_orderkey", ["part", "flag"], 7)
 
 
-@query("SELECT l_orderkey, l_linenumber AS slot, CAST(l_partkey AS VARCHAR) AS part, l_returnflag AS flag FROM lineitem WHERE l_linenumber <= 7")
+@query("SELECT l_orderkey, l_linenumber AS slot, max(CAST(l_partkey AS VARCHAR)) AS part, max(l_returnflag) AS flag FROM lineitem WHERE l_linenumber BETWEEN 1 AND 7 GROUP BY 1, 2")
 def long_slots(spark, d):
     return review.long_slots(wide_slots(spark, d), ["l_orderkey"], ["part", "flag"]).where("part <> ''")
 
 
-@query("""SELECT l_orderkey, l_suppkey % 3 AS g, """ + ", ".join(f"max(l_partkey) FILTER (n = {i}) AS l_partkey_{i}" for i in range(1, 5)) + " FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_suppkey % 3 ORDER BY l_linenumber) AS n FROM lineitem) GROUP BY 1, 2")
+@query("""SELECT l_orderkey, l_suppkey % 3 AS g, """ + ", ".join(f"max(l_partkey) FILTER (n = {i}) AS l_partkey_{i}" for i in range(1, 5)) + " FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_suppkey % 3 ORDER BY l_linenumber, l_partkey) AS n FROM lineitem) GROUP BY 1, 2")
 def inventory(spark, d):
-    li = t(spark, d, "lineitem").withColumn("g", F.col("l_suppkey") % 3)
-    return audit.inventory(li, ["l_orderkey", "g"], "l_partkey", "l_linenumber")
+    li = t(spark, d, "lineitem").withColumns({"g": F.col("l_suppkey") % 3, "place": F.struct("l_linenumber", "l_partkey")})
+    return audit.inventory(li, ["l_orderkey", "g"], "l_partkey", "place")
 
 
 @query("""WITH b AS (SELECT s_suppkey AS sub, s_nationkey AS ref FROM supplier), x AS (SELECT ref, CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_discount END AS adi, CASE WHEN l_linenumber % 4 = 0 THEN NULL ELSE l_tax END AS arfd, l_orderkey * 10 + l_linenumber AS ord FROM lineitem JOIN b ON sub = l_suppkey),
@@ -423,7 +423,7 @@ def numbers_read(spark, d):
     return audit.correlation_rows(o, "adi", "arfd").select("o_orderkey", "adi_value")
 
 
-@query("""WITH l AS (SELECT l_orderkey, list(l_partkey ORDER BY l_linenumber) AS a, list(l_suppkey ORDER BY l_linenumber)[1:2] AS b FROM lineitem GROUP BY 1)
+@query("""WITH l AS (SELECT l_orderkey, list(l_partkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS a, list(l_suppkey ORDER BY l_linenumber, l_partkey, l_suppkey)[1:2] AS b FROM lineitem GROUP BY 1)
   SELECT l_orderkey, i AS pos, CAST(a[i + 1] AS VARCHAR) AS a, CASE WHEN len(b) = 1 THEN CAST(b[1] AS VARCHAR) ELSE coalesce(CAST(b[i + 1] AS VARCHAR), '') END AS b, i < len(b) AS paired FROM (SELECT *, unnest(range(len(a))) AS i FROM l)""")
 def zipped_lists(spark, d):
     li = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey"))).alias("x"))
