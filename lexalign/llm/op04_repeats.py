@@ -386,13 +386,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER
     spark = docs.sparkSession
     small_batches(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = 4 * parts
+    buckets = parts  # a bucket is a partition, so a task writes a row of each kind for each partition at most
     own = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"), F.xxhash64("text").bitwiseAND(F.lit(0xFFFFFFFF)).alias("tag"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
     texts = own.select(F.pmod(F.col("doc").bitwiseXOR(F.col("tag") * F.lit(40503)), F.lit(buckets)).cast("int").alias("bucket"), F.lit(TEXT).alias("kind"), F.lit(None).cast("binary").alias("data"), "doc", "tag", "text")
 
     def meeting(found: DataFrame) -> DataFrame:
         both = texts.unionByName(found.select("bucket", "kind", "data", F.lit(None).cast("long").alias("doc"), F.lit(None).cast("long").alias("tag"), F.lit(None).cast("binary").alias("text")))
-        return both.repartition(parts, "bucket").sortWithinPartitions("bucket", "kind")
+        return both.repartitionById(parts, "bucket").sortWithinPartitions("bucket", "kind")
 
     def step(df: DataFrame) -> DataFrame:
         out = written(spark, df, "repeats")
@@ -400,9 +400,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER
         return out
 
     parsed = own.mapInArrow(_parse(length, trigger, buckets, hot_here), _SCHEMA)
-    first = step(parsed.repartition(parts, "bucket").mapInArrow(_dictionary(length, buckets, hot), _SCHEMA))
+    first = step(parsed.repartitionById(parts, "bucket").mapInArrow(_dictionary(length, buckets, hot), _SCHEMA))
     asked = meeting(first).mapInArrow(_read_asked(length, trigger, buckets), _SCHEMA)
-    second = step(asked.repartition(parts, "bucket").mapInArrow(_order(length, trigger, buckets), _SCHEMA))
+    second = step(asked.repartitionById(parts, "bucket").mapInArrow(_order(length, trigger, buckets), _SCHEMA))
     return meeting(second).mapInArrow(_cut(with_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
