@@ -80,9 +80,10 @@ def build_queue(products: DataFrame, formula: str, cands: DataFrame, hist: DataF
     pages, and a first decision. An empty queue has all its columns.
     """
     units = units_of(products, formula)
-    matched = learned_in_order(match_units(units, cands, hist, settings), ["row_id", "slot"])
+    # read by the products, the queue and the history alike; a lost block is worked out again
+    matched = learned_in_order(match_units(units, cands, hist, settings), ["row_id", "slot"]).persist()
     lost = F.col("match_type").isin("unresolved", "none")
-    top = fuzzy_top(matched.where(lost).select("norm").distinct(), cands, settings.top_k)
+    top = fuzzy_top(matched.where(lost).select("norm").distinct(), cands, settings.top_k).persist()
     recomposed = product_status(products, matched)
     slots = slot_count(units) if slots is None else slots
     names = wide_slots(matched.select("row_id", "slot", F.col("unit").alias("substance_active"), F.when(lost, "").otherwise(F.col("eu_name")).alias("eu_substance"), F.when(lost, "").otherwise(F.col("eu_status")).alias("eu_status")), "row_id", ["substance_active", "eu_substance", "eu_status"], slots)

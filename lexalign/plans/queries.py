@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lexalign.functions import regulatory as reg
 from lexalign.functions import similarity, split, text, verdicts
 from lexalign.operators import audit, extract, hazards, matching, review
 
+from . import pipelines
 from . import sql as S
 
 AS_OF = "1996-06-30"
@@ -449,3 +451,27 @@ def conformed(spark, d):
 @query("SELECT o_orderkey, (o_totalprice / 1000) AS raw, least(1.0, greatest(0.0, o_totalprice / 100000)) AS conf FROM orders")
 def clamped(spark, d):
     return t(spark, d, "orders").select("o_orderkey", (F.col("o_totalprice") / 1000).alias("raw"), similarity.clamped((F.col("o_totalprice") / 100000).cast("string")).alias("conf"))
+
+
+@query()
+def enriched_registry(spark, d):
+    ref = reference(spark, d).withColumn("as_cas_number", F.concat(F.lpad(F.pmod("ord", F.lit(25)).cast("string"), 4, "0"), F.lit("-1")))
+    t_ref = t(spark, d, "nation").select(F.col("n_nationkey").cast("string").alias("uuid"), F.concat(F.lpad(F.col("n_nationkey").cast("string"), 4, "0"), F.lit("-1")).alias("cas_number"), F.col("n_name").alias("name"), F.col("n_nationkey").alias("ord"))
+    sub = t(spark, d, "supplier").select(F.col("s_suppkey").cast("string").alias("uuid"), F.col("s_nationkey").cast("string").alias("ref_uuid"), F.col("s_suppkey").alias("ord"))
+    tox = t(spark, d, "lineitem").select(F.col("l_suppkey").cast("string").alias("parent_uuid"), F.col("l_discount").alias("adi"), F.col("l_tax").alias("arfd"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"))
+    out = pipelines.enrich(products(spark, d), "formula", ref, hazards.hazard_table(t_ref, sub, tox))
+    return out.select("row_id", "raw_name", "clean_name", "intercepted", "match_found", "matched_name", "match_score", "eu_status", "tox_severity_score")
+
+
+@query("""SELECT p_name AS name, p_brand AS unit FROM part UNION SELECT p_type, 'x' FROM part ORDER BY 1, 2""")
+def reference_list(spark, d):
+    p = t(spark, d, "part").select(F.concat_ws("   ", "p_name", "p_type", F.lit("extra")).alias("a"), F.concat("p_brand", F.lit("  x")).alias("b"))
+    return pipelines.reference_list(p, "a", "b")
+
+
+@query()
+def maker_dictionary(spark, d):
+    li = t(spark, d, "lineitem")
+    rows = li.select((F.col("l_suppkey") % 100).cast("string").alias("source"), F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice").alias("ord"), F.when(F.col("l_linenumber") % 4 == 3, "EC").otherwise(F.concat(F.lit("Product "), (F.col("l_partkey") % 50).cast("string"))).alias("product"), F.when(F.col("l_linenumber") % 4 == 2, "").otherwise(F.lit("Some Company / Other Firm")).alias("company"), F.when(F.col("l_linenumber") % 5 == 2, "Some Makcr").otherwise(F.lit("Some Maker")).alias("maker"))
+    rows = rows.withColumn("ord", F.row_number().over(Window.partitionBy("source").orderBy("ord")).cast("long"))
+    return pipelines.maker_dictionary(rows)
