@@ -34,8 +34,9 @@ def word_bytes(text: bytes | None) -> list[bytes]:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Texts can be long: Python workers get few rows at a time."""
+    """Texts can be long: Python workers get few rows, or 32 MB, at a time."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
 
 
 def shared_folder(spark: SparkSession) -> str:
