@@ -29,8 +29,15 @@ BROADCAST_ROWS = 200_000
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df, marked for broadcast only if it has at most rows rows; the check reads no more than that."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """df, marked for broadcast only if it has at most rows rows; the check reads no more than that.
+
+    What the check worked out is kept for the join.
+    """
+    kept = df.persist()
+    if kept.limit(rows + 1).count() <= rows:
+        return F.broadcast(kept)
+    kept.unpersist()
+    return df
 
 
 def last_of(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
