@@ -23,7 +23,7 @@ _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B
 # Kinds of rows between the steps; a text row sorts behind the others.
 PHRASE, REPEAT, ASK, UNIT, STRING, TEXT = range(6)
 _TYPES = {
-    PHRASE: ("<u8", "<u4", "<i8", "<u4", "<u4", "u1", "u1"),  # trigger, content, doc, tag, start, strings, hot
+    PHRASE: ("<u8", "<u8", "<i8", "<u4", "<u4", "u1", "u1"),  # trigger, content, doc, tag, start, strings, hot
     REPEAT: ("<i8", "<u4", "<u4", "<u4"),  # doc, tag, start, bytes
     ASK: ("<i8", "<u4", "<u4", "u1", "u1", "<u8"),  # doc, tag, start, strings, hot, trigger
     UNIT: ("<i8", "<u4", "<u4", "u1", "<u8"),  # doc, tag, start, strings, trigger; their bytes follow
@@ -113,7 +113,7 @@ def phrases(raw: np.ndarray, length: int = LENGTH, trigger: int = TRIGGER) -> tu
         with np.errstate(over="ignore"):
             content = full[first] * _ODD[2] + full[stop - 1] * _ODD[3] + (stop - first).astype(np.uint64)
         content ^= content >> np.uint64(32)
-        out.append((short[place[first]], (content & np.uint64(0xFFFFFFFF)).astype(np.uint32), first + at, stop - first))
+        out.append((short[place[first]], content, first + at, stop - first))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
@@ -380,8 +380,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER
     others hold strings that may repeat; their strings are sorted, trigger by trigger, which is the corpus order of
     all that can be equal. Triggers with more than hot phrases are dealt out string by string instead, first
     occurrences of each task only; in the first step a task sends one phrase of a trigger of which it has many. So no
-    trigger gathers in one task. Phrases and strings are told apart by 96 and 128 bits of hashes. Each of the three
-    steps ends in a table in the shared folder.
+    trigger gathers in one task. Phrases and strings of one trigger are told apart by 64 bits of hashes beside the
+    trigger's. Each of the three steps ends in a table in the shared folder.
     """
     spark = docs.sparkSession
     small_batches(spark)

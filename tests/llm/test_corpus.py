@@ -170,6 +170,15 @@ def test_repeats_keep_the_rest(spark):
     assert op04_repeats.remove_repeats(empty(spark)).count() == 0
 
 
+def test_repeats_with_like_low_hash_bits(spark):
+    # one trigger, and contents whose hashes agree in their low 32 bits
+    rows = [(i, f"{i:016d}the constant part of a templated line, sixty-eight bytes in all, it {i * 7919:016d}") for i in (7645, 9047)]
+    (t, c), (u, d) = (x[:2] for x in (op04_repeats.phrases(np.frombuffer(r[1].encode(), np.uint8)) for r in rows))
+    assert t[0] == u[0] and int(c[0]) % 2**32 == int(d[0]) % 2**32
+    got = sorted((tuple(r)[:5] for r in op04_repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == brute_repeats(rows, 100)
+
+
 def test_long_text_in_segments(monkeypatch):
     rng = np.random.default_rng(4)
     raw = rng.integers(97, 110, 3000).astype(np.uint8)
