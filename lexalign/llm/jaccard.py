@@ -1,0 +1,213 @@
+"""Near copies by word shingles: groups linked by Jaccard similarity of 0.8 or more, by an exact prefix join."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .common import LOWER_BYTES, small_batches, written
+from .op10_simhash import components
+
+#: Words in a shingle; links are pairs of 4/5 similarity or more.
+SHINGLE, SEED = 5, 42
+#: Buckets of up to so many shingle sets give all their pairs at once; larger ones first a few pairs a member.
+SMALL = 8
+#: Documents that tell which shingles are common, and shingles named so. They only order shingles: any order is exact.
+SAMPLE, COMMON = 4000, 100_000
+_BLOCK = 512
+
+
+def shingles(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
+    """Sorted 64-bit hashes of the word shingles, each once; a shorter text is one shingle, one without words none."""
+    import xxhash
+
+    words = text.translate(LOWER_BYTES).split() if text else []
+    if not words:
+        return np.empty(0, np.uint64)
+    flat = b" ".join(words)
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+    starts = np.concatenate(([0], ends[:-1])).tolist()
+    h = xxhash.xxh64_intdigest
+    stops = (ends - 1).tolist()[min(shingle, len(words)) - 1 :]
+    return np.unique(np.array([h(flat[i:j], SEED) for i, j in zip(starts, stops)], np.uint64))  # noqa: B905
+
+
+def alike(common, n, m):
+    """If sets of n and m with so many in common are 4/5 similar: common / (n + m - common) >= 4 / 5."""
+    return 9 * common >= 4 * (n + m)
+
+
+def _node(own: np.ndarray) -> int:
+    import xxhash
+
+    x = xxhash.xxh64_intdigest(own.tobytes(), SEED)
+    return x - 2**64 if x >= 2**63 else x
+
+
+def _common(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted shingles that several of a sample of documents hold, and how many."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [shingles(t) for t in b.column(0).to_pylist()]
+            if own:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own).view(np.int64))], ["token"])
+
+    texts = docs.select(F.col("text").cast("binary").alias("text"))
+    some = texts.sample(min(1.0, SAMPLE / max(1, docs.count())), SEED)
+    often = some.mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("n")).where("n > 2")
+    got = often.orderBy(F.desc("n"), "token").limit(COMMON).toArrow()
+    token, n = (got.column(i).to_numpy() for i in range(2))
+    order = np.argsort(token.view(np.uint64))
+    return token.view(np.uint64)[order], n[order]
+
+
+def _prefixes(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """doc_id, node (hash of the shingle set), n (its size) and prefix: the n - ceil(4n/5) + 1 least common shingles."""
+    small_batches(spark)
+    told = spark.sparkContext.broadcast(_common(docs))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token, often = told.value
+        for b in batches:
+            node, n, prefix = [], [], []
+            for text in b.column(1).to_pylist():
+                own = shingles(text)
+                rank = np.zeros(len(own), np.int64)
+                if len(token):
+                    at = np.minimum(np.searchsorted(token, own), len(token) - 1)
+                    rank = np.where(token[at] == own, often[at], 0)
+                node.append(_node(own))
+                n.append(len(own))
+                prefix.append(own[np.lexsort((own, rank))][: len(own) - (4 * len(own) + 4) // 5 + 1].view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(prefix, pa.list_(pa.int64()))], ["doc_id", "node", "n", "prefix"])
+
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    return own.mapInArrow(run, "doc_id long, node long, n int, prefix array<long>")
+
+
+def _pairs(rest: bool):
+    """Pairs to verify, for partitions that hold whole buckets (sets with one prefix shingle).
+
+    The first shingle two sets share, at places i and j of theirs, leaves min(n - i, m - j) in common at most, so a pair
+    that is not alike by that goes. Not rest: all pairs of small buckets, and for each member of larger ones its
+    neighbours by size and the bucket's middle. rest: all pairs of larger buckets whose roots differ.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [[c.to_numpy() for c in b.columns] for b in batches]
+        if not got:
+            return
+        token, node, n, pos, root = (np.concatenate(x) for x in zip(*got, strict=True))
+        order = np.lexsort((node, n, token))
+        token, node, n, pos, root = (c[order] for c in (token, node, n.astype(np.int64), pos.astype(np.int64), root))
+        cut = np.concatenate(([0], np.flatnonzero(np.diff(token)) + 1, [len(token)]))
+        size = np.diff(cut)
+        found: list[np.ndarray] = []
+        held = 0
+
+        def take(i: np.ndarray, j: np.ndarray) -> None:
+            nonlocal held, found
+            keep = (node[i] != node[j]) & alike(np.minimum(n[i] - pos[i], n[j] - pos[j]), n[i], n[j])
+            if rest:
+                keep &= root[i] != root[j]
+            i, j = i[keep], j[keep]
+            if len(i):
+                found.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], 1))
+                held += len(i)
+            if held > 4_000_000:
+                found = [np.unique(np.concatenate(found), axis=0)]
+                held = len(found[0]) // 2
+
+        bucket = np.repeat(np.arange(len(size)), size)
+        if not rest:
+            for step in range(1, SMALL):  # within small buckets all steps, within large ones two
+                i = np.arange(len(token) - step)
+                i = i[(bucket[i] == bucket[i + step]) & ((size[bucket[i]] <= SMALL) | (step <= 2))]
+                take(i, i + step)
+            middle = (cut[:-1] + size // 2)[bucket]
+            i = np.flatnonzero(size[bucket] > SMALL)
+            take(i, middle[i])
+        else:
+            for s, e in zip(cut[:-1][size > SMALL], cut[1:][size > SMALL], strict=True):
+                if (root[s:e] == root[s]).all():
+                    continue
+                for at in range(s, e, _BLOCK):
+                    stop = min(e, at + _BLOCK)
+                    for to in range(at, e, _BLOCK):
+                        end = min(e, to + _BLOCK)
+                        if 5 * n[stop - 1] < 4 * n[to]:
+                            break  # sizes rise: those beyond are too large for any here
+                        i, j = (x.ravel() for x in np.meshgrid(np.arange(at, stop), np.arange(to, end), indexing="ij"))
+                        take(i[i < j], j[i < j])
+        if found:
+            out = np.unique(np.concatenate(found), axis=0)
+            for at in range(0, len(out), 100_000):
+                part = out[at : at + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(part[:, 0])), pa.array(np.ascontiguousarray(part[:, 1]))], ["u", "v"])
+
+    return run
+
+
+def _sets(docs: DataFrame, pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """node and own (its shingles) of the nodes in pairs, read from a document of each."""
+    need = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(groups, "node").select(F.col("low").alias("doc_id")).distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [shingles(t) for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([_node(x) for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())], ["node", "own"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).join(need, "doc_id", "left_semi").select("text")
+    return texts.mapInArrow(run, "node long, own binary").dropDuplicates(["node"])
+
+
+def _verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Those of pairs that are alike on their whole shingle sets."""
+    sets = written(spark, _sets(docs, pairs, groups), "shingle-sets")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = []
+            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                keep.append(alike(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    both = pairs.join(sets.toDF("u", "x"), "u").join(sets.toDF("v", "y"), "v").select("u", "v", "x", "y")
+    return written(spark, both.mapInArrow(run, "u long, v long"), "alike")
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """doc_id and component_id (smallest doc_id linked) of each row of docs (doc_id, text); doc_id is not null.
+
+    Two texts are linked if the Jaccard similarity of their sets of 5-word shingles is 0.8 or more; words are those of
+    op10. Texts without words are alike. All such links count: two sets that are 4/5 similar share one of the
+    n - ceil(4n/5) + 1 first shingles of both in any common order, so the sets meet in buckets of these, rarer shingles
+    first; candidates are verified on their whole sets. Large buckets link a few pairs a member first, and compare all
+    pairs after that whose members are not yet in one component.
+    """
+    spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    own = written(spark, _prefixes(spark, docs), "prefixes")
+    groups = own.groupBy("node").agg(F.min("doc_id").alias("low"))
+    one = own.select("node", "n", "prefix").where("n > 0")
+
+    def candidates(nodes: DataFrame, rest: bool) -> DataFrame:
+        tokens = nodes.select(F.posexplode("prefix").alias("pos", "token"), "node", "n", "root").select("token", "node", "n", "pos", "root")
+        dealt = tokens.repartition(parts, "token").mapInArrow(_pairs(rest), "u long, v long")
+        return written(spark, dealt.distinct(), "pairs")
+
+    first = _verified(spark, docs, candidates(one.dropDuplicates(["node"]).withColumn("root", F.col("node")), False), groups)
+    roots = components(spark, first)
+    rooted = one.dropDuplicates(["node"]).join(roots, "node", "left").select("node", "n", "prefix", F.coalesce("root", "node").alias("root"))
+    second = _verified(spark, docs, candidates(rooted, True), groups)
+    roots = components(spark, first.union(second))
+    named = groups.join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
+    ids = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    of = named.select("node", "root").join(ids, "root").select("node", "component_id")
+    return own.select("doc_id", "node").join(of, "node").select("doc_id", "component_id")

@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline
 from lexalign.llm import op10_simhash
 
@@ -31,3 +33,34 @@ def test_odd_rows(spark):
         assert stage(spark, docs, SF).count() <= 2 * len(rows)
         assert stage(spark, docs.limit(0), SF).count() == 0
     assert corpus_pipeline.near_dedup(spark, docs, SF).count() == 3
+
+
+def brute_groups(rows):
+    """Smallest id of each group linked by 5-word shingles, for every row."""
+    sets = []
+    for _, t in rows:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    out = [i for i, _ in rows]
+    for i in range(len(rows)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) and out[i] != out[j]:
+                low, high = sorted((out[i], out[j]))
+                out = [low if x == high else x for x in out]
+    return out
+
+
+def test_near_dedup_links_by_similarity(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(500)]
+    bases = [rng.choices(vocabulary, k=rng.randint(30, 150)) for _ in range(30)] + [rng.choices(vocabulary, k=120)]
+    rows = [(0, ""), (1, None), (2, "a b"), (3, "a c"), (4, "A  b")]
+    for b, base in enumerate(bases):
+        for _ in range(60 if b == 30 else 6):  # one group is larger than a small bucket
+            w = list(base)
+            for at in rng.sample(range(len(w)), rng.randint(0, 4)):
+                w[at] = rng.choice(vocabulary)
+            rows.append((len(rows), " ".join(w)))
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(7)
+    got = sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, SF).select("doc_id").collect())
+    assert got == sorted(set(brute_groups(rows)))
