@@ -1,4 +1,9 @@
-"""Near copies by word shingles: groups linked by Jaccard similarity of 0.8 or more, by an exact prefix join."""
+"""op10's wide setting: texts linked by word-shingle similarity of 4/5 or more, exactly.
+
+SimHash's own bit counts serve as the pivot tables here. The fingerprint is the set of shingle hashes; the reference for
+bit b is the set of all hashes with that bit. A set's distance to a reference (the size of the symmetric difference) is
+its size less twice its hashes with the bit, but for a constant, which is just the count that SimHash takes the sign of.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import LOWER_BYTES, small_batches, written
-from .op10_simhash import components
+from .op10_simhash import components, named_groups
 
 #: Words in a shingle; links are pairs of 4/5 similarity or more.
 SHINGLE, SEED = 5, 42
@@ -18,7 +23,7 @@ SHINGLE, SEED = 5, 42
 SMALL = 8
 #: Documents that tell which shingles are common, and shingles named so. They only order shingles: any order is exact.
 SAMPLE, COMMON = 4000, 100_000
-_BLOCK = 512
+_BLOCK, _BITS = 512, 65_536
 
 
 def shingles(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -66,16 +71,27 @@ def _common(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return token.view(np.uint64)[order], n[order]
 
 
+def distances(own: np.ndarray) -> np.ndarray:
+    """Of a set of hashes, its distances to the 64 references, less a constant of each: size - 2 * hashes with the bit."""
+    if not len(own):
+        return np.zeros(64, np.int32)
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(own), _BITS):
+        ones += np.unpackbits(own[at : at + _BITS].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return (len(own) - 2 * ones).astype(np.int32)
+
+
 def _prefixes(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """doc_id, node (hash of the shingle set), n (its size) and prefix: the n - ceil(4n/5) + 1 least common shingles."""
+    """doc_id, text_hash, node (hash of the shingle set), n (its size), coord (distances()) and prefix: the
+    n - ceil(4n/5) + 1 least common shingles."""
     small_batches(spark)
     told = spark.sparkContext.broadcast(_common(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, often = told.value
         for b in batches:
-            node, n, prefix = [], [], []
-            for text in b.column(1).to_pylist():
+            node, n, prefix, coord = [], [], [], []
+            for text in b.column(2).to_pylist():
                 own = shingles(text)
                 rank = np.zeros(len(own), np.int64)
                 if len(token):
@@ -83,11 +99,13 @@ def _prefixes(spark: SparkSession, docs: DataFrame) -> DataFrame:
                     rank = np.where(token[at] == own, often[at], 0)
                 node.append(_node(own))
                 n.append(len(own))
+                coord.append(distances(own))
                 prefix.append(own[np.lexsort((own, rank))][: len(own) - (4 * len(own) + 4) // 5 + 1].view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(prefix, pa.list_(pa.int64()))], ["doc_id", "node", "n", "prefix"])
+            cols = [pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(coord, pa.list_(pa.int32())), pa.array(prefix, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], *cols], ["doc_id", "text_hash", "node", "n", "coord", "prefix"])
 
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return own.mapInArrow(run, "doc_id long, node long, n int, prefix array<long>")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
+    return own.mapInArrow(run, "doc_id long, text_hash long, node long, n int, coord array<int>, prefix array<long>")
 
 
 def _pairs(rest: bool):
@@ -153,16 +171,28 @@ def _pairs(rest: bool):
     return run
 
 
+def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs whose distances to each reference differ by no more than two sets that are alike can differ.
+
+    Sets of n and m that are 4/5 similar differ in (n + m) / 9 hashes at most, and no distance to a reference differs by
+    more than the sets do; so no pair that is alike goes.
+    """
+    x = nodes.select(F.col("node").alias("u"), F.col("n").alias("_n"), F.col("coord").alias("_x"))
+    y = nodes.select(F.col("node").alias("v"), F.col("n").alias("_m"), F.col("coord").alias("_y"))
+    far = F.exists(F.zip_with("_x", "_y", lambda a, b: 9 * F.abs(a - b)), lambda d: d > F.col("_n") + F.col("_m"))
+    return pairs.join(x, "u").join(y, "v").where(~far).select("u", "v")
+
+
 def _sets(docs: DataFrame, pairs: DataFrame, groups: DataFrame) -> DataFrame:
-    """node and own (its shingles) of the nodes in pairs, read from a document of each."""
-    need = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(groups, "node").select(F.col("low").alias("doc_id")).distinct()
+    """node and own (its shingles) of the nodes in pairs, read from a text of each."""
+    need = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(groups, "node").select("text_hash").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             own = [shingles(t) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([_node(x) for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())], ["node", "own"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).join(need, "doc_id", "left_semi").select("text")
+    texts = docs.select(F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text")).join(need, "text_hash", "left_semi").select("text")
     return texts.mapInArrow(run, "node long, own binary").dropDuplicates(["node"])
 
 
@@ -182,32 +212,53 @@ def _verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, groups: Da
     return written(spark, both.mapInArrow(run, "u long, v long"), "alike")
 
 
-def near_copies(docs: DataFrame) -> DataFrame:
-    """doc_id and component_id (smallest doc_id linked) of each row of docs (doc_id, text); doc_id is not null.
+def similar_texts(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id, text_hash, fp (hash of the shingle set), root (one for each group) and component_id (the group's
+    smallest doc_id) of each row of docs (doc_id, text).
+
+    Two texts are linked if the Jaccard similarity of their sets of 5-word shingles is 4/5 or more; words are those of
+    op10. Texts without words, null ones among them, are alike. A null doc_id takes part, but names no component that
+    has another id; rows that repeat a doc_id are rows of their own, and unlike texts of one id are in groups of their
+    own. An empty table gives no rows; other columns play no part.
 
-    Two texts are linked if the Jaccard similarity of their sets of 5-word shingles is 0.8 or more; words are those of
-    op10. Texts without words are alike. All such links count: two sets that are 4/5 similar share one of the
-    n - ceil(4n/5) + 1 first shingles of both in any common order, so the sets meet in buckets of these, rarer shingles
-    first; candidates are verified on their whole sets. Large buckets link a few pairs a member first, and compare all
-    pairs after that whose members are not yet in one component.
+    All links count: two sets that are 4/5 similar share one of the n - ceil(4n/5) + 1 first shingles of both in any
+    common order, so the sets meet in buckets of these, rarer shingles first; pairs that the pivot tables leave are
+    verified on their whole sets. Large buckets link a few pairs a member first, and compare all pairs after that whose
+    members are not yet in one component.
     """
+    if shingle != SHINGLE:
+        raise ValueError(f"shingles have {SHINGLE} words here")
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = written(spark, _prefixes(spark, docs), "prefixes")
-    groups = own.groupBy("node").agg(F.min("doc_id").alias("low"))
-    one = own.select("node", "n", "prefix").where("n > 0")
+    groups = own.groupBy("node").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"), F.min("text_hash").alias("text_hash"))
+    nodes = written(spark, own.where("n > 0").dropDuplicates(["node"]).select("node", "n", "coord", "prefix"), "nodes")
 
-    def candidates(nodes: DataFrame, rest: bool) -> DataFrame:
-        tokens = nodes.select(F.posexplode("prefix").alias("pos", "token"), "node", "n", "root").select("token", "node", "n", "pos", "root")
+    def candidates(rooted: DataFrame, rest: bool) -> DataFrame:
+        tokens = rooted.select(F.posexplode("prefix").alias("pos", "token"), "node", "n", "root").select("token", "node", "n", "pos", "root")
         dealt = tokens.repartition(parts, "token").mapInArrow(_pairs(rest), "u long, v long")
-        return written(spark, dealt.distinct(), "pairs")
+        return written(spark, _near(dealt.distinct(), nodes), "pairs")
 
-    first = _verified(spark, docs, candidates(one.dropDuplicates(["node"]).withColumn("root", F.col("node")), False), groups)
+    first = _verified(spark, docs, candidates(nodes.withColumn("root", F.col("node")), False), groups)
     roots = components(spark, first)
-    rooted = one.dropDuplicates(["node"]).join(roots, "node", "left").select("node", "n", "prefix", F.coalesce("root", "node").alias("root"))
+    rooted = nodes.join(roots, "node", "left").select("node", "n", "prefix", F.coalesce("root", "node").alias("root"))
     second = _verified(spark, docs, candidates(rooted, True), groups)
-    roots = components(spark, first.union(second))
-    named = groups.join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
-    ids = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = named.select("node", "root").join(ids, "root").select("node", "component_id")
-    return own.select("doc_id", "node").join(of, "node").select("doc_id", "component_id")
+    rows = own.select("doc_id", "text_hash", "node")
+    found = named_groups(spark, rows, groups, first.union(second), "node")
+    return found.select("doc_id", "text_hash", F.col("node").alias("fp"), "root", "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """Of each group of similar_texts() the row of smallest doc_id, of that id's texts the one of least hash; all columns.
+
+    Rows without a doc_id come behind all others. Of rows alike in doc_id and text the one with the least other columns
+    stays, so reruns agree. Unlike texts that share a doc_id are in groups of their own and stay.
+    """
+    found = similar_texts(docs.select("doc_id", "text"), shingle)
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("_f"))
+    stay = first.select(F.col("_f.doc_id").alias("_id"), F.col("_f.text_hash").alias("_h")).distinct()
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    own = docs.withColumn("_t", F.xxhash64("text"))
+    own = own.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_h")), "left_semi")
+    one = own.groupBy("doc_id", "_t").agg(F.first("text").alias("text"), F.min(F.struct(*rest) if rest else F.lit(0)).alias("_r"))
+    return one.select(*[F.col(f"_r.{c}") if c in rest else F.col(c) for c in docs.columns])

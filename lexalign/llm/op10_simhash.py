@@ -3,25 +3,50 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import LOWER_BYTES, checkpointed, small_batches, table, written
 
 SHINGLE, SEED, MAX_BITS = 3, 42, 2
-#: Reference fingerprints of the pivot tables.
-PIVOTS, PIVOT_SEED = 24, 7
+#: Parts of the bits that a family of reference fingerprints resolves each, and the seed that the references come from.
+PARTS, PIVOT_SEED = 4, 7
+#: A key is heavy if it has more than this share of all rows; so there are at most 1 / HEAVY heavy keys.
+HEAVY = 1e-4
 #: Fingerprints in a bucket whose pairs one task compares; larger buckets go the way of single-bit variants.
 MAX_BUCKET = 512
 _BLOCK = 4096
 
 
-def pivots(n: int = PIVOTS, seed: int = PIVOT_SEED) -> np.ndarray:
-    """n reference fingerprints, the same in every process."""
-    return np.random.Generator(np.random.PCG64(seed)).integers(0, 2**64, n, dtype=np.uint64)
+@cache
+def families(parts: int = PARTS, seed: int = PIVOT_SEED) -> tuple[tuple[int, ...], ...]:
+    """Reference fingerprints, a family for each part of the bits; the same in every process.
+
+    The references of a family are equal outside their part. So the differences of a fingerprint's distances to them
+    depend on its bits in that part alone, and references are added until they tell all values of these bits apart: the
+    family resolves the part.
+    """
+    rng = np.random.Generator(np.random.PCG64(seed))
+    width = 64 // parts
+    values = np.arange(1 << width, dtype=np.uint32)
+    out = []
+    for k in range(parts):
+        base = int(rng.integers(0, 2**64, dtype=np.uint64))
+        own, label = [base], np.zeros(len(values), np.int64)
+        while True:
+            flip = int(rng.integers(1, 1 << width))
+            inner = (base >> (width * k)) & ((1 << width) - 1)
+            gap = np.bitwise_count(values ^ np.uint32(inner ^ flip)).astype(np.int64) - np.bitwise_count(values ^ np.uint32(inner))
+            told, label = np.unique(label * 64 + gap, return_inverse=True)
+            own.append(base ^ (flip << (width * k)))
+            if len(told) == len(values):
+                break
+        out.append(tuple(own))
+    return tuple(out)
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -59,12 +84,6 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return own.mapInArrow(run, "doc_id long, fp long")
 
 
-def _blocks() -> list[int]:
-    """Masks of 32 bits: two fingerprints that differ in 2 bits or fewer agree on all bits of one of them at least."""
-    quarter = [0xFFFF << (16 * i) for i in range(4)]
-    return [quarter[i] | quarter[j] for i in range(4) for j in range(i)]
-
-
 def _signed(x: int) -> int:
     return x - 2**64 if x >= 2**63 else x
 
@@ -94,9 +113,9 @@ def close_pairs(fps: np.ndarray, tables: np.ndarray, max_bits: int) -> tuple[np.
     return i[keep], j[keep]
 
 
-def _bucket_edges(max_bits: int, n_pivots: int):
+def _bucket_edges(max_bits: int):
     """For partitions that hold whole buckets: a star to the smallest fingerprint of each group linked in a bucket."""
-    refs = pivots(n_pivots)
+    refs = np.array([p for own in families() for p in own], np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = [(b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy()) for b in batches]
@@ -134,23 +153,34 @@ def _bucket_edges(max_bits: int, n_pivots: int):
     return run
 
 
-def links(distinct: DataFrame, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET, n_pivots: int = PIVOTS) -> DataFrame:
+def _coordinates(fp: Column) -> list[Column]:
+    """For each family a hash of the differences of fp's distances to the family's references."""
+
+    def far(p: int) -> Column:
+        return F.bit_count(fp.bitwiseXOR(F.lit(_signed(p))))
+
+    return [F.xxhash64(*[far(p) - far(own[0]) for p in own[1:]]) for own in families()]
+
+
+def links(distinct: DataFrame, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """Links (u, v) that connect the fingerprints (fp) as their pairs within 2 bits do.
 
-    Fingerprints meet in buckets of 32 equal bits (six tables: pairs within 2 bits share one). Within a bucket of up
-    to max_bucket fingerprints pairs pass the pivot tables and are verified; a bucket gives a forest, not its pairs.
-    The fingerprints of larger buckets each give their 65 variants of at most one changed bit; two lie within 2 bits
-    just if they share a variant, and no variant has more than 65 owners. That way is exact and linear, so no bucket
-    has a cap beyond which links get lost.
+    Pivot distances are the search key: fingerprints meet in buckets of equal distance differences within two
+    families. Two fingerprints that differ in 2 bits or fewer have like bits in two of the four parts at least, so like
+    differences in two families: they share one of the six tables. Within a bucket of up to max_bucket fingerprints
+    pairs pass the tables of distances to all references and survivors are verified; a bucket gives a forest, not its
+    pairs. The fingerprints of larger buckets, which are near copies by the hundred that no reference tells apart, each
+    give their 65 variants of at most one changed bit; two lie within 2 bits just if they share a variant, and no
+    variant has more than 65 owners. That way is exact and linear, so no bucket has a cap beyond which links get lost.
     """
     if max_bits != 2:
-        raise ValueError("the tables serve links of 2 bits")
-    masks = [_signed(m) for m in _blocks()]
-    one = distinct.select("fp", F.explode(F.array(*[F.lit(m) for m in masks])).alias("mask"))
-    one = one.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp")
+        raise ValueError("the tables serve links of 2 bits; near_duplicates(similarity=...) serves wider ones")
+    told = distinct.select("fp", *[c.alias(f"_{i}") for i, c in enumerate(_coordinates(F.col("fp")))])
+    tables = [F.struct(F.lit(PARTS * i + j).alias("mask"), F.xxhash64(f"_{i}", f"_{j}").alias("key")) for i in range(PARTS) for j in range(i)]
+    one = told.select("fp", F.explode(F.array(*tables)).alias("x")).select("x.mask", "x.key", "fp")
     sizes = one.groupBy("mask", "key").agg(F.count("*").alias("n")).where("n > 1")
     sized = one.join(sizes, ["mask", "key"])
-    cold = sized.where(F.col("n") <= max_bucket).select("mask", "key", "fp").repartition("mask", "key").mapInArrow(_bucket_edges(max_bits, n_pivots), "u long, v long")
+    cold = sized.where(F.col("n") <= max_bucket).select("mask", "key", "fp").repartition("mask", "key").mapInArrow(_bucket_edges(max_bits), "u long, v long")
     hot = sized.where(F.col("n") > max_bucket).select("fp").distinct()
     flips = [0, *(_signed(1 << i) for i in range(64))]
     variants = hot.select("fp", F.explode(F.array(*[F.lit(x) for x in flips])).alias("flip")).select("fp", F.col("fp").bitwiseXOR(F.col("flip")).alias("variant"))
@@ -180,24 +210,44 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         was = tuple(now)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET, n_pivots: int = PIVOTS) -> DataFrame:
+def named_groups(spark: SparkSession, rows: DataFrame, groups: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """rows with component_id, the smallest doc_id that edges reach from each row's key; groups: key, low, n.
+
+    Keys of more than HEAVY of all rows are at most 1 / HEAVY, so their components are broadcast, and their rows do not
+    meet in one task; the others join by key.
+    """
+    roots = components(spark, edges).withColumnRenamed("node", "_node")
+    named = groups.join(roots, F.col(key) == F.col("_node"), "left").select(key, "low", "n", F.coalesce("root", key).alias("root"))
+    ids = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    of = written(spark, named.select(key, "n", "root").join(ids, "root").select(key, "n", "root", "component_id"), "components")
+    total = of.agg(F.sum("n")).first()[0] or 0
+    heavy = F.col("n") > HEAVY * total
+    few = F.broadcast(of.where(heavy).drop("n"))
+    return rows.join(few, key).unionByName(rows.join(few, key, "left_anti").join(of.where(~heavy).drop("n"), key))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET, similarity: bool = False) -> DataFrame:
     """doc_id, fp (signed long) and component_id (smallest doc_id linked) of each row of docs (doc_id, text).
 
-    Null, empty and blank texts have fingerprint 0 and link like any other. Rows that repeat a doc_id are rows of
-    their own with that id; a null doc_id takes part but names no component unless a component has no other id.
-    An empty table gives no rows; other columns play no part. Copies meet in one distinct fingerprint before any
-    search, by an aggregation that combines before the shuffle.
+    Fingerprints link at max_bits or fewer differing bits. With similarity, texts link instead if their sets of word
+    shingles are 4/5 similar or more, by op10_sets.similar_texts(); that is beyond any radius that tables of 64 bits
+    could search, so there fp is the hash of a set. Null, empty and blank texts have fingerprint 0 (one set without
+    shingles) and link like any other. Rows that repeat a doc_id are rows of their own with that id; a null doc_id takes
+    part but names no component unless a component has no other id. An empty table gives no rows; other columns play
+    no part. Copies meet in one distinct fingerprint before any search, by an aggregation that combines before the
+    shuffle.
     """
     spark = docs.sparkSession
+    if similarity:
+        from .op10_sets import similar_texts
+
+        return similar_texts(docs, shingle).select("doc_id", "fp", "component_id")
     fps = written(spark, fingerprints(docs, shingle), "fingerprints")
-    groups = fps.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    roots = components(spark, links(groups.select("fp"), max_bits, max_bucket, n_pivots))
-    named = groups.join(roots, groups["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    ids = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = named.select("fp", "root").join(ids, "root").select("fp", "component_id")
-    return fps.join(of, "fp").select("doc_id", "fp", "component_id")
+    groups = fps.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
+    return named_groups(spark, fps, groups, links(groups.select("fp"), max_bits, max_bucket), "fp").select("doc_id", "fp", "component_id")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's digest of near_duplicates() over documents, with its defaults; rows, nulls and ties as there."""
     out = near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

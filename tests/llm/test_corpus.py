@@ -358,6 +358,27 @@ def brute_components(fps):
     return out
 
 
+def test_families_resolve_their_parts():
+    rng = np.random.default_rng(3)
+    for k, own in enumerate(op10_simhash.families()):
+        base, rest = np.uint64(own[0]), np.array(own[1:], np.uint64)
+        assert all((int(base) ^ p) >> 16 * k < 1 << 16 and (int(base) ^ p) % (1 << 16 * k) == 0 for p in own[1:])
+        other = rng.integers(0, 2**64, 4, dtype=np.uint64)
+        x = ((np.arange(1 << 16, dtype=np.uint64) << np.uint64(16 * k))[:, None] | (other & ~(np.uint64(0xFFFF) << np.uint64(16 * k)))[None, :]).T
+        gaps = np.bitwise_count(x[..., None] ^ rest).astype(int) - np.bitwise_count(x ^ base).astype(int)[..., None]
+        assert (gaps == gaps[:1]).all() and len(np.unique(gaps[0], axis=0)) == 1 << 16
+
+
+def test_set_distances_bound_the_difference():
+    rng = np.random.default_rng(4)
+    from lexalign.llm import op10_sets
+
+    for _ in range(50):
+        both = rng.integers(0, 2**64, rng.integers(0, 300), dtype=np.uint64)
+        x, y = (np.unique(np.concatenate((both, rng.integers(0, 2**64, rng.integers(0, 40), dtype=np.uint64)))) for _ in range(2))
+        assert np.abs(op10_sets.distances(x) - op10_sets.distances(y)).max() <= len(np.setxor1d(x, y))
+
+
 @pytest.mark.parametrize("most", [512, 2])
 def test_near_duplicates_links(spark, most):
     rng = random.Random(8)

@@ -12,8 +12,8 @@ def test_stages(spark):
     assert kept.columns == docs.columns and 0 < kept.count() <= docs.count()
     one = corpus_pipeline.near_dedup(spark, docs, SF)
     ids = sorted(r["doc_id"] for r in one.select("doc_id").collect())
-    want = sorted({r["component_id"] for r in op10_simhash.near_duplicates(docs).collect()})
-    assert ids == want and sorted(one.columns) == sorted(docs.columns)
+    want = sorted(set(brute_groups([(r["doc_id"], r["text"]) for r in docs.collect()])))
+    assert ids == want and one.columns == docs.columns
     clean = corpus_pipeline.decontaminate(spark, docs, SF)
     assert clean.columns == docs.columns and 0 < clean.count() <= docs.count()
     mixed = corpus_pipeline.mix(spark, docs, SF)
@@ -35,6 +35,14 @@ def test_odd_rows(spark):
     assert corpus_pipeline.near_dedup(spark, docs, SF).count() == 3
 
 
+def test_near_dedup_keeps_unlike_texts_of_one_id(spark):
+    one, two = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(3, one, "en", "s", 1), (3, two, "en", "s", 1), (3, two, "en", "r", 1), (4, one, "en", "s", 1), (None, two, "en", "s", 1), (None, one + " more", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((r["doc_id"], r["text"], r["source"]) for r in corpus_pipeline.near_dedup(spark, docs, SF).collect())
+    assert got == sorted([(3, one, "s"), (3, two, "r")])
+
+
 def brute_groups(rows):
     """Smallest id of each group linked by 5-word shingles, for every row."""
     sets = []
@@ -64,3 +72,5 @@ def test_near_dedup_links_by_similarity(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(7)
     got = sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, SF).select("doc_id").collect())
     assert got == sorted(set(brute_groups(rows)))
+    all_rows = op10_simhash.near_duplicates(docs, shingle=5, similarity=True).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in all_rows) == sorted(zip((i for i, _ in rows), brute_groups(rows), strict=True))
