@@ -17,6 +17,8 @@ LENGTH, TRIGGER = 100, 32
 #: Phrases with one trigger that are sorted together; triggers with more go the way of single strings.
 HOT_HERE, HOT = 64, 1024
 _FLUSH, _SEGMENT, _PLACE = 2_000_000, 1 << 22, np.uint64(0xFFFFFF)
+#: Bytes of dictionary phrases that one suffix array is built over; those of a trigger stay together.
+_SLAB = 1 << 22
 _NO_ID = -(2**63)
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -305,28 +307,80 @@ def _string_repeats(doc, tag, start, length: int, buckets: int) -> Iterator[pa.R
     yield from _dealt(REPEAT, _doc_bucket(doc[first], tag[first], buckets), [doc[first], tag[first], start[first], start[last] - start[first] + length])
 
 
-def _order(length: int, trigger: int, buckets: int):
-    """For partitions that hold all phrases of a trigger, or all equal strings: strings in corpus order, where equal
-    ones stand side by side; all but the first of them are repeats."""
+def suffix_ranks(raw: np.ndarray, length: int) -> np.ndarray:
+    """Rank of the length bytes from each place on, in byte order; equal strings have equal ranks.
+
+    A suffix array bounded to length bytes, by prefix doubling: ranks of w bytes give those of 2w, the last step overlaps.
+    Bytes are compared, no hashes.
+    """
+    n = len(raw) - length + 1
+    if n <= 0:
+        return np.empty(0, np.int64)
+    width = min(8, length)
+    word = np.zeros(len(raw) - width + 1, np.uint64)
+    for k in range(width):
+        word = (word << np.uint64(8)) | raw[k : k + len(word)]
+    rank = np.unique(word, return_inverse=True)[1]
+    while width < length:
+        step = min(width, length - width)
+        first = rank[: len(rank) - step].astype(np.uint64)
+        rank = np.unique((first << np.uint64(32)) | rank[step:].astype(np.uint64), return_inverse=True)[1]
+        width += step
+    return rank
+
+
+def _slab_repeats(units: list[np.ndarray], begin: np.ndarray, raw: np.ndarray, length: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Repeats within phrases (doc, tag, start, strings; their bytes from begin on in raw) that hold whole triggers."""
+    doc, tag, start, n = units
+    size = n + length - 1
+    own = raw[np.repeat(begin, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)]
+    each = np.repeat(np.arange(len(n)), n)
+    inner = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
+    rank = suffix_ranks(own, length)[np.repeat(np.cumsum(size) - size, n) + inner]
+    doc, tag, start = doc[each], tag[each], (start[each] + inner).astype(np.uint32)
+    order = np.lexsort((tag, start, doc, rank))
+    rank, doc, tag, start = (c[order] for c in (rank, doc, tag, start))
+    repeat, _ = _later(rank, rank, doc, tag, start)
+    yield from _string_repeats(doc[repeat], tag[repeat], start[repeat], length, buckets)
+
+
+def _order(length: int, buckets: int, slab: int = _SLAB):
+    """For partitions that hold all phrases of a trigger, or all equal strings of hot triggers: all but the first of equal
+    strings are repeats. Phrases are put in corpus order by suffix arrays of bounded size, whole triggers in each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
+        strings: list[list[np.ndarray]] = []
+        units: list[list[np.ndarray]] = []
+        raws: list[np.ndarray] = []
         for b in batches:
             for bucket, kind, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if kind == STRING:
-                    held.append(unpack(STRING, data)[0])
+                    strings.append(unpack(STRING, data)[0])
                 elif kind == UNIT:
-                    (doc, tag, start, n, trig), raw = unpack(UNIT, data)
-                    n = n.astype(np.int64)
-                    full = hashes(raw, length, trigger)[1]
-                    each = np.repeat(np.arange(len(n)), n)
-                    inner = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-                    at = np.repeat(np.cumsum(n + length - 1) - (n + length - 1), n) + inner
-                    held.append([full[at], trig[each], doc[each], tag[each], (start[each] + inner).astype(np.uint32)])
+                    cols, raw = unpack(UNIT, data)
+                    units.append(cols)
+                    raws.append(raw)
                 else:
                     yield _rows([bucket], kind, [data])
-        if held:
-            h, t, doc, tag, start = (np.concatenate(x) for x in zip(*held, strict=True))
+        if units:
+            doc, tag, start, n, trig = (np.concatenate(x) for x in zip(*units, strict=True))
+            n, raw = n.astype(np.int64), np.concatenate(raws)
+            units, raws = [], []
+            size = n + length - 1
+            begin = np.cumsum(size) - size
+            order = np.argsort(trig, kind="stable")
+            trig, done = trig[order], np.cumsum(size[order])
+            cut = np.concatenate((np.flatnonzero(trig[1:] != trig[:-1]) + 1, [len(trig)]))  # ends of triggers
+            at = 0
+            while at < len(order):
+                base = done[at - 1] if at else 0
+                last = int(np.searchsorted(done[cut - 1], base + slab, "right"))
+                stop = int(cut[max(last - 1, int(np.searchsorted(cut, at, "right")))])
+                part = order[at:stop]
+                yield from _slab_repeats([c[part] for c in (doc, tag, start, n)], begin[part], raw, length, buckets)
+                at = stop
+        if strings:
+            h, t, doc, tag, start = (np.concatenate(x) for x in zip(*strings, strict=True))
             order = np.lexsort((tag, start, doc, t, h))
             h, t, doc, tag, start = (c[order] for c in (h, t, doc, tag, start))
             repeat, _ = _later(h, t, doc, tag, start)
@@ -374,14 +428,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER
     columns play no part.
 
     Prefix-free parsing, bounded to length bytes and dealt to many tasks: rolling-hash triggers cut the texts into
-    phrases that overlap, so that each string lies in one phrase (phrases()). The parse is one small record a phrase.
-    Equal phrases are found first, in each task and then by trigger: all but the first are repeats whole, so copies
-    cost a record, however long they are. Of the dictionary of distinct phrases only those whose trigger occurs in
-    others hold strings that may repeat; their strings are sorted, trigger by trigger, which is the corpus order of
-    all that can be equal. Triggers with more than hot phrases are dealt out string by string instead, first
-    occurrences of each task only; in the first step a task sends one phrase of a trigger of which it has many. So no
-    trigger gathers in one task. Phrases and strings of one trigger are told apart by 64 bits of hashes beside the
-    trigger's. Each of the three steps ends in a table in the shared folder.
+    phrases that overlap, so that each string lies in one phrase (phrases()). The parse is one small record a phrase;
+    as no string reaches beyond its phrase, the order of equal strings is that of their phrases' places, and nothing
+    behind a phrase has to be ranked. Equal phrases are found first, in each task and then by trigger: all but the first
+    are repeats whole, so copies cost a record, however long they are. Of the dictionary of distinct phrases only those
+    whose trigger occurs in others hold strings that may repeat; suffix arrays over their bytes, whole triggers in each,
+    put these strings in corpus order, equal ones side by side (suffix_ranks()). Triggers with more than hot phrases are
+    dealt out string by string instead, first occurrences of each task only; in the first step a task sends one phrase
+    of a trigger of which it has many. So no trigger gathers in one task. Whole phrases of one trigger are told apart by
+    64 bits of their contents' hash, the single strings of hot triggers by 64 bits beside the trigger's 64, all else by
+    its bytes. Each of the three steps ends in a table in the shared folder.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -402,11 +458,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER
     parsed = own.mapInArrow(_parse(length, trigger, buckets, hot_here), _SCHEMA)
     first = step(parsed.repartitionById(parts, "bucket").mapInArrow(_dictionary(length, buckets, hot), _SCHEMA))
     asked = meeting(first).mapInArrow(_read_asked(length, trigger, buckets), _SCHEMA)
-    second = step(asked.repartitionById(parts, "bucket").mapInArrow(_order(length, trigger, buckets), _SCHEMA))
+    second = step(asked.repartitionById(parts, "bucket").mapInArrow(_order(length, buckets), _SCHEMA))
     return meeting(second).mapInArrow(_cut(with_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's digest of remove_repeats() over documents, with its defaults; rows, nulls and ties as there."""
     return remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("kept")
 
 

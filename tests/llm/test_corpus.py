@@ -179,6 +179,37 @@ def test_repeats_with_like_low_hash_bits(spark):
     assert got == brute_repeats(rows, 100)
 
 
+def test_repeats_spare_unlike_texts_of_one_trigger(spark):
+    one = "ltfzjdqzzixgjztliwqvxedznpzzksdgqevkonxxrdjgerunekzttohsamliqbktzlujysgcasunjjidvgwopbkldicqietbueximotsbpslvvfzdfzhfjxzlocvnxkwmmbsiqbhfxfhfmylxfdvrirtdmrstsfugievnpgb"
+    two = "ttkqutttqeezmggufzfajuqspvecxqgvrnnqrdoybqjrkrnpvvlubtxgjblxflqntymnysgcasunjjidvgwopbkldicqietbuexihepseiywdoqthxglakbcpyltnvekgotuqhylhbzapiekznbcdwkukhxbuqhnyuwqxfxz"
+    out = op04_repeats.remove_repeats(spark.createDataFrame([(1, one), (2, two), (3, "x" + two)], "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r["n_removed"] for r in out] == [0, 0, len(two)]
+
+
+def test_suffix_ranks_are_in_byte_order():
+    rng = np.random.default_rng(9)
+    for length in (3, 8, 20, 100):
+        raw = rng.integers(0, 3, 700).astype(np.uint8)
+        raw[300:500] = raw[100:300]
+        strings = [raw[i : i + length].tobytes() for i in range(len(raw) - length + 1)]
+        place = {s: i for i, s in enumerate(sorted(set(strings)))}
+        assert op04_repeats.suffix_ranks(raw, length).tolist() == [place[s] for s in strings]
+
+
+def test_slabs_hold_whole_triggers():
+    rng = np.random.default_rng(10)
+    pool = [rng.integers(97, 100, 130).astype(np.uint8) for _ in range(4)]
+    found = []
+    for slab in (1, 500, 1 << 22):
+        units = [(i, 0, 0, 31, i % 7) for i in range(40)]
+        cols = [np.array(c) for c in zip(*units, strict=True)]
+        data = op04_repeats.pack(op04_repeats.UNIT, *cols, more=b"".join(pool[i % 7 % 4].tobytes() for i in range(40)))
+        out = op04_repeats._order(100, 3, slab)(iter([op04_repeats._rows([0], op04_repeats.UNIT, [data])]))
+        got = [tuple(x) for b in out for d in b.column(2).to_pylist() for x in zip(*(c.tolist() for c in op04_repeats.unpack(op04_repeats.REPEAT, d)[0]), strict=True)]
+        found.append(sorted(got))
+    assert all((i, 0, 0, 130) in found[0] for i in range(7, 40)) and found[0] == found[1] and set(found[0]) <= set(found[2])
+
+
 def test_long_text_in_segments(monkeypatch):
     rng = np.random.default_rng(4)
     raw = rng.integers(97, 110, 3000).astype(np.uint8)
