@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,3 +29,28 @@ def sampled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
     """doc_id, y and text (binary) of the sample's documents; the sample is bounded, so it is broadcast."""
     own = docs.select("doc_id", F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"))
     return own.join(F.broadcast(sample), "doc_id")
+
+
+def log_odds(p: np.ndarray) -> np.ndarray:
+    p = np.clip(p, 1e-6, 1 - 1e-6)
+    return np.log(p / (1 - p))
+
+
+def platt(p: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 1.0) -> tuple[float, float]:
+    """Slope and shift of log odds that make p likeliest for labels y, by Newton steps; the ridge draws to 1 and 0.
+
+    The slope stays positive, so calibration keeps the order of scores; without rows it is the identity.
+    """
+    z = np.stack([log_odds(p), np.ones(len(p))], axis=1)
+    w = np.ones(len(p)) if weight is None else weight * len(weight) / max(float(weight.sum()), 1e-12)
+    rest = np.array([1.0, 0.0])
+    theta = rest.copy()
+    for _ in range(50):
+        q = 1 / (1 + np.exp(-np.clip(z @ theta, -30, 30)))
+        step = np.linalg.solve((z * (w * q * (1 - q))[:, None]).T @ z + ridge * np.eye(2), z.T @ (w * (y - q)) - ridge * (theta - rest))
+        theta = theta + step * min(1.0, 2.0 / (np.abs(step).max() + 1e-12))
+    return max(0.1, float(theta[0])), float(theta[1])
+
+
+def calibrated(p: np.ndarray, slope: float, shift: float) -> np.ndarray:
+    return 1 / (1 + np.exp(-(slope * log_odds(p) + shift)))

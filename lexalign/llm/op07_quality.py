@@ -11,22 +11,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import small_batches, table
-from .learn import fold, label_sample, sampled_texts
+from .learn import calibrated, fold, label_sample, platt, sampled_texts
 
-#: Labelled documents of each class that the model is fitted on, and the most lines of one that is taken.
-SAMPLE, SAMPLE_LINES = 1500, 300
+#: Labelled documents of each class that the model is fitted on; of one with more lines, this many in runs of RUN lines
+#: that are spread over the whole text.
+SAMPLE, SAMPLE_LINES, RUN = 1500, 300, 50
 KEEP_FROM = 0.3
 ROUNDS, RATE, RIDGE = 150, 0.15, 1e-3
+#: Log odds by which a line's hidden label agrees with its document's; scale of the neighbouring lines' features, small so
+#: that a line is judged by itself before its neighbours.
+AGREE, NEAR = 2.0, 0.2
 
-_ASCII = np.zeros((7, 256), np.float32)
-_ASCII[0, 65:91] = 1  # upper
-_ASCII[1, 65:91] = _ASCII[1, 97:123] = _ASCII[1, 128:] = 1  # letters
-_ASCII[2, [ord(c) for c in "#$%&*+/<=>@\\^_`{}~[]"]] = 1
-_ASCII[3, [ord(c) for c in "!?"]] = 1
-_ASCII[4, ord("|")] = 1
-_ASCII[5, 48:58] = 1
-_ASCII[6, [ord(c) for c in ".,;:"]] = 1
-_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+
+def _told(chars: str, *spans: tuple[int, int]) -> np.ndarray:
+    out = np.zeros(256, np.uint8)
+    out[[ord(c) for c in chars]] = 1
+    for a, b in spans:
+        out[a:b] = 1
+    return out
+
+
+#: Bytes of kinds: upper case, letters, signs, calls, strokes, digits, stops.
+_KINDS = [_told("", (65, 91)), _told("", (65, 91), (97, 123), (128, 256)), _told("#$%&*+/<=>@\\^_`{}~[]"), _told("!?"), _told("|"), _told("", (48, 58)), _told(".,;:")]
+_LOW = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 #: Of a line itself; the same of the lines before and behind follow.
 OWN = 12
 
@@ -39,40 +46,48 @@ def _text_lines(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return start, np.concatenate((cut, [len(raw)])) - start
 
 
+def _said_twice(text: bytes, low: np.ndarray, first: np.ndarray, last: np.ndarray, line: np.ndarray) -> np.ndarray:
+    """Whether each word is the one before it in the same line, A-Z lower-cased."""
+    out = np.zeros(len(first), bool)
+    size, middle = last - first, low[(first + last) // 2]
+    like = (size[1:] == size[:-1]) & (line[1:] == line[:-1]) & (low[first[1:]] == low[first[:-1]]) & (low[last[1:] - 1] == low[last[:-1] - 1]) & (middle[1:] == middle[:-1])
+    for i in (np.flatnonzero(like) + 1).tolist():  # few are alike so far
+        out[i] = text[first[i] : last[i]].lower() == text[first[i - 1] : last[i - 1]].lower()
+    return out
+
+
 def line_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(lines x features, bytes of each line): shares of kinds of characters and of words said twice running."""
+    """(lines x features, bytes of each line): shares of kinds of characters and of words said twice running.
+
+    A few bytes of memory for each byte of text.
+    """
     start, size = _text_lines(text)
     n = len(start)
     own = np.zeros((n, OWN), np.float32)
     own[:, 0] = np.log1p(size) / 8
     own[:, 1] = size == 0
     if len(text):
-        raw = np.frombuffer(text, np.uint8)
-        kinds = _ASCII[:, raw]
-        kinds[0, 1:] += (raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E)
-        sums = np.concatenate((np.zeros((7, 1)), np.cumsum(kinds, axis=1, dtype=np.float64)), axis=1)
-        per = (sums[:, start + size] - sums[:, start]).T
+        raw = np.frombuffer(text + b"\n", np.uint8)  # so each line has an end, which is of no kind
+        per = []
+        for k, kind in enumerate(_KINDS):
+            hit = kind[raw]
+            if k == 0:
+                hit[1:] += (raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E)
+            per.append(np.add.reduceat(hit, start, dtype=np.int64))
         long = np.maximum(size, 1)
-        own[:, 2] = per[:, 0] / np.maximum(per[:, 1], 1)
+        own[:, 2] = per[0] / np.maximum(per[1], 1)
         for k, scale in ((2, 4), (3, 4), (4, 8), (5, 4), (6, 8)):
-            own[:, k + 1] = np.minimum(per[:, k] / long * scale, 1)
+            own[:, k + 1] = np.minimum(per[k] / long * scale, 1)
         gap = (raw == 32) | ((raw >= 9) & (raw <= 13))
-        step = np.diff(np.concatenate(([True], gap, [True])).astype(np.int8))
+        step = np.diff(np.concatenate(([True], gap)).astype(np.int8))
         first, last = np.flatnonzero(step == -1), np.flatnonzero(step == 1)
         if len(first):
-            with np.errstate(over="ignore"):
-                power = np.cumprod(np.full(int((last - first).max()) + 1, _MULTIPLIER))
-                place = np.arange(len(raw)) - np.repeat(first, np.diff(np.concatenate((first, [len(raw)])))) if first[0] == 0 else np.maximum(0, np.arange(len(raw)) - np.concatenate((np.zeros(first[0], np.int64), np.repeat(first, np.diff(np.concatenate((first, [len(raw)])))))))
-                low = np.where((raw >= 65) & (raw <= 90), raw + 32, raw).astype(np.uint64) + np.uint64(1)
-                value = np.concatenate((np.zeros(1, np.uint64), np.cumsum(np.where(gap, np.uint64(0), low * power[np.minimum(place, len(power) - 1)]), dtype=np.uint64)))
-                word = value[last] - value[first]
             line = np.searchsorted(start, first, "right") - 1
             count = np.bincount(line, minlength=n)
-            same = np.zeros(len(word), bool)
-            same[1:] = (word[1:] == word[:-1]) & (line[1:] == line[:-1])
-            own[:, 8] = np.bincount(line, same, minlength=n) / np.maximum(count, 1)
-            own[:, 9] = np.minimum(np.bincount(line, (last - first), minlength=n) / np.maximum(count, 1) / 16, 1)
-            own[:, 10] = np.minimum(np.bincount(line, (last - first) <= 3, minlength=n) / np.maximum(count, 1), 1)
+            some = np.maximum(count, 1)
+            own[:, 8] = np.bincount(line, _said_twice(text, _LOW[raw], first, last, line), minlength=n) / some
+            own[:, 9] = np.minimum(np.bincount(line, last - first, minlength=n) / some / 16, 1)
+            own[:, 10] = np.minimum(np.bincount(line, (last - first) <= 3, minlength=n) / some, 1)
             own[:, 11] = np.minimum(count / 40, 1)
     out = np.zeros((n, 3 * OWN + 2), np.float32)
     out[:, :OWN] = own
@@ -82,6 +97,15 @@ def line_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return out, size
 
 
+def spread(n: int, most: int = SAMPLE_LINES, run: int = RUN) -> np.ndarray:
+    """The places of up to most of n lines: all, or runs of lines at even distances from the first to the last."""
+    if n <= most:
+        return np.arange(n)
+    run = min(run, most)
+    begin = np.linspace(0, n - run, most // run).astype(np.int64)
+    return np.unique(begin[:, None] + np.arange(run))
+
+
 class Chain:
     """Labels 0 (bad) and 1 (good); weights of features for label 1 and of the four transitions."""
 
@@ -95,22 +119,25 @@ class Chain:
         ends = np.cumsum(lengths)
         sums = np.concatenate(([0], np.cumsum(p * weight))), np.concatenate(([0], np.cumsum(weight)))
         mean = np.clip(np.diff(sums[0][np.concatenate(([0], ends))]) / np.diff(sums[1][np.concatenate(([0], ends))]), 1e-6, 1 - 1e-6)
-        return 1 / (1 + np.exp(-(self.slope * np.log(mean / (1 - mean)) + self.shift))), p
+        return calibrated(mean, self.slope, self.shift), p
 
     def push(self, x: np.ndarray) -> np.ndarray:
         z = np.concatenate(((x - self.mean) / self.scale, np.ones((len(x), 1))), axis=1)
         return np.exp(np.clip(z @ self.weights, -25, 25))
 
     def marginals(self, push: np.ndarray, lengths: np.ndarray, pairs: bool = False):
-        """P(good) of each line of sequences that lie one behind the other; with pairs, also the expected transitions.
+        """P(good) of each line of sequences that lie one behind the other.
 
-        Forward and backward messages are kept normalised; a step serves the sequences that are long enough, together.
+        With pairs, also the place of each line that another follows, the four transitions' probabilities there, and the
+        log of each sequence's partition sum. Forward and backward messages are kept normalised; a step serves the
+        sequences that are long enough, together.
         """
         m = np.exp(np.clip(self.moves, -20, 20))
         order = np.argsort(-lengths, kind="stable")
         size, base = lengths[order], (np.cumsum(lengths) - lengths)[order]
         alive = np.searchsorted(-size, -np.arange(1, int(size[0]) + 1), "right") if len(size) else []
         a, b = np.empty(len(push)), np.full(len(push), 0.5)
+        total = np.zeros(len(lengths))
         for t, k in enumerate(alive):
             at = base[:k] + t
             g = push[at]
@@ -118,8 +145,10 @@ class Chain:
                 p = a[at - 1]
                 good, bad = g * (p * m[1, 1] + (1 - p) * m[0, 1]), p * m[1, 0] + (1 - p) * m[0, 0]
             else:
-                good, bad = g, 1.0
+                good, bad = g, np.ones(k)
             a[at] = good / (good + bad)
+            if pairs:
+                total[order[:k]] += np.log(good + bad)
         for t in range(len(alive) - 2, -1, -1):
             at = base[: alive[t + 1]] + t
             q, g = b[at + 1], push[at + 1]
@@ -133,56 +162,67 @@ class Chain:
         at = np.flatnonzero(inner)
         x, q, g = a[at], b[at + 1], push[at + 1]
         xi = np.stack([(1 - x) * m[0, 0] * (1 - q), (1 - x) * m[0, 1] * g * q, x * m[1, 0] * (1 - q), x * m[1, 1] * g * q], axis=1)
-        return p, (xi / xi.sum(1, keepdims=True)).sum(0).reshape(2, 2), at
+        return p, at, xi / xi.sum(1, keepdims=True), total
 
+    def likelihood(self, push: np.ndarray, lengths: np.ndarray, bias: float, labels: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, float]:
+        """Log likelihood of documents' labels, and its gradient by the lines' log pushes, the moves and the bias.
 
-def _calibrate(chain: Chain, push: np.ndarray, lengths: np.ndarray, weight: np.ndarray, y: np.ndarray) -> None:
-    """Slope and shift of the documents' log odds, by Newton steps on the ridged likelihood of their labels."""
-    s = np.clip(chain.documents(push, lengths, weight)[0], 1e-6, 1 - 1e-6)
-    z = np.stack([np.log(s / (1 - s)), np.ones(len(s))], axis=1)
-    theta = np.array([1.0, 0.0])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(z @ theta, -30, 30)))
-        ridge = np.array([0.05, 0.05])
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(ridge), z.T @ (y - p) - ridge * theta)
-        theta = theta + step * min(1.0, 2.0 / (np.abs(step).max() + 1e-12))
-    chain.slope, chain.shift = max(0.1, float(theta[0])), float(theta[1])
+        Lines' labels are hidden: a document of label y has the chain's weight of a labelling, times e^AGREE for each
+        line whose label is y; its label's probability is y's share of the sum over all labellings and both labels.
+        """
+        p1, at, xi1, z1 = self.marginals(push * np.exp(AGREE), lengths, pairs=True)
+        p0, _, xi0, z0 = self.marginals(push * np.exp(-AGREE), lengths, pairs=True)
+        odds = np.clip(z1 - z0 - AGREE * lengths + bias, -500, 500)
+        rest = labels - 1 / (1 + np.exp(-odds))
+        each = np.repeat(rest, lengths)
+        value = float(np.sum(labels * odds - np.logaddexp(0, odds)))
+        return value, each * (p1 - p0), (each[at, None] * (xi1 - xi0)).sum(0), float(rest.sum())
 
 
 def fit(sequences: list[np.ndarray], sizes: list[np.ndarray], labels: list[int], rounds: int = ROUNDS) -> Chain | float:
-    """The chain of most conditional likelihood; the share of label 1 if there are no two classes (0.5 without rows)."""
+    """The chain of most conditional likelihood of the documents' labels, those of their lines hidden; scores calibrated.
+
+    The share of label 1 if there are no two classes (0.5 without rows).
+    """
     if len(set(labels)) < 2:
         return float(np.mean(labels)) if labels else 0.5
     x = np.concatenate(sequences).astype(np.float64)
-    lengths = np.array([len(s) for s in sequences])
-    y = np.repeat(np.array(labels, np.float64), lengths)
+    lengths, y = np.array([len(s) for s in sequences]), np.array(labels, np.float64)
     mean, scale = x.mean(0), x.std(0) + 0.05
+    scale[OWN : 3 * OWN] /= NEAR
     chain = Chain(np.zeros(x.shape[1] + 1), np.zeros((2, 2)), mean, scale)
     z = np.concatenate(((x - mean) / scale, np.ones((len(x), 1))), axis=1)
-    seen = None
-    theta = np.zeros(z.shape[1] + 4)
+    theta = np.zeros(z.shape[1] + 5)
     m1, m2 = np.zeros_like(theta), np.zeros_like(theta)
     for k in range(1, rounds + 1):  # Adam
-        chain.weights, chain.moves = theta[:-4], theta[-4:].reshape(2, 2)
-        p, xi, at = chain.marginals(np.exp(np.clip(z @ chain.weights, -25, 25)), lengths, pairs=True)
-        if seen is None:
-            seen = np.bincount((y[at] * 2 + y[at + 1]).astype(int), minlength=4).reshape(2, 2)
-        grad = np.concatenate((z.T @ (y - p), (seen - xi).ravel())) / len(lengths) - RIDGE * theta
+        chain.weights, chain.moves = theta[:-5], theta[-5:-1].reshape(2, 2)
+        _, line, moves, bias = chain.likelihood(np.exp(np.clip(z @ chain.weights, -25, 25)), lengths, theta[-1], y)
+        grad = np.concatenate((z.T @ line, moves, [bias])) / len(lengths) - RIDGE * theta
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.999 * m2 + 0.001 * grad**2
         theta = theta + RATE * (m1 / (1 - 0.9**k)) / (np.sqrt(m2 / (1 - 0.999**k)) + 1e-8)
-    chain.weights, chain.moves = theta[:-4], theta[-4:].reshape(2, 2)
-    _calibrate(chain, np.exp(np.clip(z @ chain.weights, -25, 25)), lengths, np.concatenate(sizes) + 1.0, np.array(labels, np.float64))
+    chain.weights, chain.moves = theta[:-5], theta[-5:-1].reshape(2, 2)
+    rough = chain.documents(np.exp(np.clip(z @ chain.weights, -25, 25)), lengths, np.concatenate(sizes) + 1.0)[0]
+    chain.slope, chain.shift = platt(rough, y)
     return chain
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_lines: int = SAMPLE_LINES) -> Chain | float:
-    """Fits on labels.quality of up to sample documents a class, those of fold 0 and of more than sample_lines lines left out."""
+    """Fits on labels.quality of up to sample documents a class outside fold 0, of each sample_lines lines by spread().
+
+    Null and unlike labels, and labels without a document, play no part; a null text is an empty one. Without labelled
+    rows of both classes the model is a constant. The driver holds the sample's features only; rows that repeat a
+    sampled doc_id count once each.
+    """
     small_batches(docs.sparkSession)
     chosen, _ = label_sample(labels, "quality", sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [(i, y, *line_features(t)) for i, y, t in zip(*(c.to_pylist() for c in b.columns), strict=True) if t.count(b"\n") < sample_lines]
+            found = []
+            for i, y, t in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                x, size = line_features(t)
+                at = spread(len(x), sample_lines)
+                found.append((i, y, x[at], size[at]))
             cols = [pa.array([f[0] for f in found], pa.int64()), pa.array([f[1] for f in found], pa.int32()), pa.array([f[2].tobytes() for f in found], pa.binary()), pa.array([f[3].astype(np.int64).tobytes() for f in found], pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "y", "x", "size"])
 
@@ -207,13 +247,17 @@ def score(docs: DataFrame, model: Chain | float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = told.value
         for b in batches:
-            got = [line_features(t or b"") for t in b.column(names.index("text")).cast(pa.binary()).to_pylist()]
-            lengths = np.array([len(s) for _, s in got], np.int64)
-            weight = np.concatenate([s for _, s in got]) + 1.0 if got else np.empty(0)
-            if not got or isinstance(m, float):
-                total, p = np.full(len(got), m if got else 0.0), np.full(len(weight), m if got else 0.0)
+            pushes, sizes = [], []
+            for t in b.column(names.index("text")).to_pylist():  # one text's features at a time
+                x, size = line_features((t or "").encode())
+                pushes.append(np.zeros(len(x)) if isinstance(m, float) else m.push(x))
+                sizes.append(size)
+            lengths = np.array([len(s) for s in sizes], np.int64)
+            weight = np.concatenate(sizes) + 1.0 if sizes else np.empty(0)
+            if not sizes or isinstance(m, float):
+                total, p = np.full(len(sizes), m if sizes else 0.0), np.full(len(weight), m if sizes else 0.0)
             else:
-                total, p = m.documents(m.push(np.concatenate([x for x, _ in got])), lengths, weight)
+                total, p = m.documents(np.concatenate(pushes), lengths, weight)
             ends = np.concatenate(([0], np.cumsum(lengths)))
             lines = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(p, pa.float32()))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(total, pa.float64()), lines], [*names, "score", "line_scores"])
@@ -223,6 +267,7 @@ def score(docs: DataFrame, model: Chain | float) -> DataFrame:
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's digest of score() over documents, fitted on labels; rows, nulls and ties as there."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = score(docs, train(docs, table(spark, sf_dir, "labels")))
     return out.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= KEEP_FROM).cast("int").alias("predicted"))
