@@ -96,15 +96,56 @@ def test_vectors(spark):
 
 def test_block_max_is_exact():
     rng = random.Random(1)
-    idf = np.array([rng.uniform(1, 3) for _ in range(12)])
-    vectors = [op03_toxicity.vector({rng.randrange(12): rng.randint(1, 4) for _ in range(rng.randint(0, 4))}, rng.randint(5, 300), idf) for _ in range(700)]
+    idf = np.array([rng.uniform(1, 3) for _ in range(40)])
+    draw = lambda n: op03_toxicity.vector({rng.randrange(40): rng.randint(1, 4) for _ in range(n)}, idf, 12)
+    vectors = [draw(rng.randint(1, 9)) for _ in range(1500)]
+    dense = np.zeros((1500, 40))
+    for i, (at, w) in enumerate(vectors):
+        dense[i, at] = w
+    assert np.allclose(np.linalg.norm(dense, axis=1), 1)
     n = len(vectors)
-    index = op03_toxicity.Index([str(i) for i in range(12)], idf, np.arange(n), np.zeros(n, int), np.ones(n), vectors, 0.1)
-    for _ in range(40):
-        q = op03_toxicity.vector({rng.randrange(12): rng.randint(1, 4) for _ in range(3)}, 50, idf)
-        at, cos = index.nearest(q, 15)
-        want = sorted((-round(sum(q[t] * v.get(t, 0) for t in q), 12), i) for i, v in enumerate(vectors))[:15]
-        assert [i for _, i in want] == index.ids[at].tolist() and np.allclose([-s for s, _ in want], cos)
+    index = op03_toxicity.Index([str(i) for i in range(12)], {f"w{i}": 12 + i for i in range(28)}, idf, np.arange(n), np.zeros(n, int), np.ones(n), vectors, 0.1)
+    for k in range(60):
+        q = draw(5)
+        leave = k if k % 2 else None
+        at, cos = index.nearest(q, 15, leave)
+        want = sorted((-round(float(v[q[0]] @ q[1]), 12), i) for i, v in enumerate(dense) if i != leave)[:15]
+        assert [i for s, i in want if s] == index.ids[at].tolist() and np.allclose([-s for s, _ in want if s], cos)
+
+
+def test_a_copy_of_an_example_is_its_nearest(spark):
+    rows = [(i, " ".join(f"w{(i * 7 + j * j) % 90}" for j in range(40))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    index = op03_toxicity.train(docs, spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int"))
+    texts = dict(rows)
+    for i in index.ids[:20].tolist():  # no word tells the label here, so only plain words find the example
+        near = index.vote(op03_toxicity.count_terms(texts[i].encode(), None, index.words))[1]
+        assert abs(near[0][1] - 1) < 1e-9 and i in [e[0] for e in near if abs(e[1] - 1) < 1e-9]
+
+
+def held_out(spark, out, label):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    return out.join(labels, "doc_id").where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0).select("score", label).collect()
+
+
+def test_toxicity_of_held_out_documents(spark):
+    big, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rows = held_out(spark, op03_toxicity.score(big, op03_toxicity.train(big, labels)), "toxic")
+    assert len(rows) > 50 and np.mean([(r["score"] >= 0.5) == r["toxic"] for r in rows]) > 0.9
+    assert np.mean([(r["score"] - r["toxic"]) ** 2 for r in rows]) < 0.08
+
+
+def test_calibration_keeps_order():
+    from lexalign.llm.learn import calibrated, platt
+
+    rng = np.random.default_rng(2)
+    truth = rng.uniform(0.02, 0.98, 4000)
+    y = (rng.random(4000) < truth).astype(float)
+    off = calibrated(truth, 2.5, -1.0)  # scores that are too sure
+    slope, shift = platt(off, y)
+    back = calibrated(off, slope, shift)
+    assert ((back - y) ** 2).mean() < ((off - y) ** 2).mean() and np.abs(back - truth).mean() < 0.03
+    assert (np.diff(back[np.argsort(off)]) >= 0).all() and platt(np.empty(0), np.empty(0)) == (1.0, 0.0)
 
 
 def test_toxicity(spark):
@@ -282,12 +323,53 @@ def test_chain_marginals():
         at += n
 
 
+def test_chain_gradient():
+    rng = np.random.default_rng(7)
+    x, lengths, y = rng.standard_normal((9, 2)), np.array([1, 5, 3]), np.array([1.0, 0.0, 1.0])
+    theta = rng.standard_normal(3 + 4 + 1)
+
+    def value(t):
+        chain = op07_quality.Chain(t[:3], t[3:7].reshape(2, 2), np.zeros(2), np.ones(2))
+        return chain.likelihood(chain.push(x), lengths, t[7], y)
+
+    _, line, moves, bias = value(theta)
+    got = np.concatenate((np.c_[x, np.ones(9)].T @ line, moves, [bias]))
+    want = [(value(theta + 1e-5 * e)[0] - value(theta - 1e-5 * e)[0]) / 2e-5 for e in np.eye(8)]
+    assert np.allclose(got, want, atol=1e-6)
+
+
+def test_bad_lines_in_good_documents_are_found():
+    rng = random.Random(11)
+    good = lambda: " ".join(rng.choice(["the", "weather", "turned", "and", "people", "went", "home", "early"]) for _ in range(9)).capitalize() + "."
+    bad = lambda: "".join(rng.choice("#$%|=<>{}") for _ in range(30)) + " BUY NOW!!! NOW!!!"
+    sequences, sizes, labels, marks = [], [], [], []
+    for i in range(300):
+        y = i % 2
+        mark = [int(rng.random() < (0.85 if y else 0.2)) for _ in range(rng.randint(3, 12))]
+        x, size = op07_quality.line_features("\n".join(good() if m else bad() for m in mark).encode())
+        sequences.append(x), sizes.append(size), labels.append(y), marks.append(mark)
+    model = op07_quality.fit(sequences, sizes, labels)
+    inside = [(p > 0.5, m) for x, y, mark in zip(sequences, labels, marks, strict=True) if y for p, m in zip(model.marginals(model.push(x), np.array([len(x)])), mark, strict=True)]
+    assert np.mean([p == m for p, m in inside]) > 0.95 and 100 < sum(1 - m for _, m in inside)
+
+
+def test_spread():
+    assert op07_quality.spread(7, 10, 5).tolist() == list(range(7))
+    at = op07_quality.spread(1000, 100, 20)
+    assert len(at) == 100 and at[0] == 0 and at[-1] == 999 and at.max() < 1000
+
+
+def test_line_features_of_a_long_line():
+    x, size = op07_quality.line_features(b"again Again other " * 300_000 + b"\n\nend")
+    assert size.tolist() == [5_400_000, 0, 3] and abs(x[0, 8] - 1 / 3) < 1e-3 and x[1, 1] == 1
+
+
 def test_quality(spark):
     docs = documents(spark)
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     big = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = op07_quality.train(big, labels)
-    held = op07_quality.score(big, model).join(labels, "doc_id").where(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0).collect()
+    held = held_out(spark, op07_quality.score(big, model), "quality")
     assert np.mean([(r["score"] >= 0.3) == r["quality"] for r in held]) > 0.95
     rows = op07_quality.score(odd(spark), model).collect()
     assert len(rows) == len(odd_rows()) and all(0 <= r["score"] <= 1 for r in rows)

