@@ -42,28 +42,41 @@ def _gram_hash(k: int, word: list[Column]) -> Column:
     return F.xxhash64(F.lit(k), *word)
 
 
+def _tells(templates: list) -> dict[int, int]:
+    """For each template a bit for each of its grams that stands in no other label's template of the same gram length."""
+    labels: dict[tuple, set[str]] = {}
+    for _, label, _, k, words in templates:
+        for p in range(len(words) - k + 1):
+            labels.setdefault((k, *words[p : p + k]), set()).add(label)
+    return {i: sum(1 << p for p in range(len(words) - k + 1) if len(labels[k, *words[p : p + k]]) == 1) for i, _, _, k, words in templates}
+
+
 def _positions(spark: SparkSession, templates: list) -> DataFrame:
-    """h, template, label, base, k, grams, t_pos, gram: a row for each gram of each template, and one that meets the
-    mark that each document opens with. As many rows as the templates have words at most."""
-    rows = []
+    """h, template, label, base, k, grams, tells, t_pos, gram: a row for each gram of each template, and one that meets
+    the mark that each document opens with. As many rows as the templates have words at most."""
+    rows, tells = [], _tells(templates)
     for i, label, base, k, words in templates:
+        if len(words) - k + 1 > 63:
+            raise ValueError("a template has at most 63 grams")
         for p in range(len(words) - k + 1):
             gram = [F.lit(w) for w in words[p : p + k]]
-            rows.append((_gram_hash(k, gram), i, label, base, k, len(words) - k + 1, p, F.array(*gram)))
-    rows.append((_gram_hash(0, []), _START, "", False, 0, 1, 0, F.array().cast("array<string>")))
-    names = ("h", "template", "label", "base", "k", "grams", "t_pos", "gram")
-    structs = [F.struct(*(c.alias(n) if isinstance(c, Column) else F.lit(c).alias(n) for n, c in zip(names, r, strict=True))) for r in rows]
+            rows.append((_gram_hash(k, gram), i, label, base, k, len(words) - k + 1, tells[i], p, F.array(*gram)))
+    rows.append((_gram_hash(0, []), _START, "", False, 0, 1, 0, 0, F.array().cast("array<string>")))
+    names = ("h", "template", "label", "base", "k", "grams", "tells", "t_pos", "gram")
+    structs = [F.struct(*(c.alias(n) if isinstance(c, Column) else F.lit(c).cast("long" if n == "tells" else "string" if n == "label" else "boolean" if n == "base" else "int").alias(n) for n, c in zip(names, r, strict=True))) for r in rows]
     return spark.range(1, numPartitions=1).select(F.explode(F.array(*structs)).alias("x")).select("x.*")
 
 
 def scan(docs: DataFrame, phrases: list[tuple[str, str]] = PHRASES, notices: list[tuple[str, str]] = NOTICES, drift: int = DRIFT, cover: float = COVER) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score and passages of each row of docs.
 
-    Every gram of every text is hashed and joined to the templates' positions; hits are compared word by word, so no
-    hash collision counts. Hits vote for their diagonal, position in the text less position in the template. A phrase
-    stands where a diagonal has all of its grams. A notice's diagonals no more than drift apart merge, and a passage
-    with a share of at least cover of the notice's grams counts; passages: label, first_word, last_word, score.
-    score is the best share of any notice, 1 where a phrase stands, 0 where nothing is found.
+    The grams of every text that begin with a word that a template's gram begins with are hashed and joined to the
+    templates' positions; hits are compared word by word, so no hash collision counts. Hits vote for their diagonal,
+    position in the text less position in the template. A phrase stands where a diagonal has all of its grams. A
+    notice's diagonals no more than drift apart merge to a passage, whose span is verified: distinct positions of the
+    notice, each counted once, are at least the share cover of its grams, and so are those that no other label's notice
+    has, which tell it from its kin. passages: label, first_word, last_word, score. score is the best share of positions
+    of any notice, 1 where a phrase stands, 0 where nothing is found.
 
     Null and empty texts have no words and no license. Each row is a document of its own, also one with a null or
     repeated doc_id; an empty table gives no rows. Other columns play no part. The template table is fixed, a few
@@ -71,33 +84,37 @@ def scan(docs: DataFrame, phrases: list[tuple[str, str]] = PHRASES, notices: lis
     are read once and never shuffled.
     """
     spark = docs.sparkSession
+    templates = _templates(phrases, notices)
     words = F.regexp_extract_all(ascii_lower(F.coalesce("text", F.lit(""))), F.lit(WORD), 0)
     own = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", words.alias("_words"))
 
     def grams(k: int) -> Column:
-        at = F.sequence(F.lit(0), F.size("_words") - k)
-        return F.when(F.size("_words") >= k, F.transform(at, lambda i: _gram_hash(k, [F.get("_words", i + j) for j in range(k)]))).otherwise(F.array().cast("array<long>"))
-
-    all_grams = F.concat(F.array(_gram_hash(0, [])), grams(PHRASE_GRAM), grams(NOTICE_GRAM))
-    each = own.select("_row", "doc_id", "_words", F.size("_words").alias("_n"), F.posexplode(all_grams).alias("_p", "h"))
-    hits = each.join(F.broadcast(_positions(spark, _templates(phrases, notices))), "h")
-    short = F.greatest(F.col("_n") - (PHRASE_GRAM - 1), F.lit(0))
-    pos = F.when(F.col("k") == 0, 0).when(F.col("k") == PHRASE_GRAM, F.col("_p") - 1).otherwise(F.col("_p") - 1 - short)
-    hits = hits.withColumn("pos", pos).where((F.col("k") == 0) | ((F.col("pos") >= 0) & (F.slice("_words", F.col("pos") + 1, F.col("k")) == F.col("gram"))))
-    hits = hits.select("_row", "doc_id", "_n", "template", "label", "base", "k", "grams", "pos", (F.col("pos") - F.col("t_pos")).alias("diagonal")).repartition("_row")
+        firsts = sorted({t[p] for _, _, _, n, t in templates if n == k for p in range(len(t) - k + 1)})
+        at = F.filter(F.sequence(F.lit(0), F.size("_words") - k), lambda i: F.get("_words", i).isin(firsts))
+        hashed = F.transform(at, lambda i: F.struct(i.alias("p"), _gram_hash(k, [F.get("_words", i + j) for j in range(k)]).alias("h")))
+        return F.when(F.size("_words") >= k, hashed).otherwise(F.array().cast("array<struct<p:int,h:bigint>>"))
+
+    mark = F.array(F.struct(F.lit(0).alias("p"), _gram_hash(0, []).alias("h")))
+    each = own.select("_row", "doc_id", "_words", F.size("_words").alias("_n"), F.explode(F.concat(mark, grams(PHRASE_GRAM), grams(NOTICE_GRAM))).alias("_g"))
+    each = each.select("_row", "doc_id", "_words", "_n", F.col("_g.p").alias("pos"), F.col("_g.h").alias("h"))
+    hits = each.join(F.broadcast(_positions(spark, templates)), "h").where((F.col("k") == 0) | (F.slice("_words", F.col("pos") + 1, F.col("k")) == F.col("gram")))
+    place = F.when(F.col("k") == 0, F.lit(0)).otherwise(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("t_pos")))
+    hits = hits.select("_row", "doc_id", "_n", "template", "label", "base", "k", "grams", "tells", "pos", (F.col("pos") - F.col("t_pos")).alias("diagonal"), place.cast("long").alias("place")).repartition("_row")
+    same = ("doc_id", "_n", "label", "base", "k", "grams", "tells")
     votes = hits.groupBy("_row", "template", "diagonal").agg(
-        *(F.first(c).alias(c) for c in ("doc_id", "_n", "label", "base", "k", "grams")), F.count("*").alias("votes"), F.min("pos").alias("lo"), F.max("pos").alias("hi")
-    ).where(~F.col("base") | (F.col("votes") == F.col("grams")))
+        *(F.first(c).alias(c) for c in same), F.bit_or("place").alias("places"), F.min("pos").alias("lo"), F.max("pos").alias("hi")
+    ).where(~F.col("base") | (F.bit_count("places") == F.col("grams")))
     near = Window.partitionBy("_row", "template").orderBy("diagonal")
     apart = F.col("base") | F.lag("diagonal").over(near).isNull() | (F.col("diagonal") - F.lag("diagonal").over(near) > drift)
     merged = votes.withColumn("_new", apart.cast("int")).withColumn("island", F.sum("_new").over(near.rowsBetween(Window.unboundedPreceding, 0)))
     passages = merged.groupBy("_row", "template", "island").agg(
-        *(F.first(c).alias(c) for c in ("doc_id", "_n", "label", "base", "k", "grams")), F.sum("votes").alias("votes"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
+        *(F.first(c).alias(c) for c in same), F.bit_or("places").alias("places"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
     )
-    share = F.least(F.lit(1.0), F.col("votes") / F.col("grams"))
+    share = F.bit_count("places") / F.col("grams")
     passages = passages.withColumn("share", F.when(F.col("template") == _START, 0.0).otherwise(share))
     base = F.when(F.col("base"), F.col("lo").cast("long"))
-    good = (F.col("template") != _START) & (F.col("base") | (F.col("share") >= cover))
+    told = F.bit_count(F.col("places").bitwiseAND(F.col("tells"))) >= cover * F.bit_count("tells")
+    good = (F.col("template") != _START) & (F.col("base") | ((F.col("share") >= cover) & told))
     span = F.struct("label", F.col("lo").cast("long").alias("first_word"), (F.col("hi") + F.col("k") - 1).cast("long").alias("last_word"), F.col("share").alias("score"))
     return passages.groupBy("_row").agg(
         F.max("doc_id").alias("doc_id"),
@@ -113,6 +130,7 @@ def scan(docs: DataFrame, phrases: list[tuple[str, str]] = PHRASES, notices: lis
 
 
 def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's digest of scan() over documents, with its defaults; rows, nulls and ties as there."""
     return scan(table(spark, sf_dir, "documents")).drop("passages")
 
 
@@ -123,25 +141,29 @@ WITH d AS MATERIALIZED (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
 ), t(template, label, base, k, w) AS (VALUES {rows}
 ), tg AS (
-  SELECT template, label, base, k, len(w) - k + 1 AS grams, i AS t_pos, array_to_string(w[i + 1 : i + k], ' ') AS g
-  FROM (SELECT *, unnest(range(len(w) - k + 1)) AS i FROM t)
+  SELECT *, min(label) OVER (PARTITION BY k, g) = max(label) OVER (PARTITION BY k, g) AS tell FROM (
+    SELECT template, label, base, k, len(w) - k + 1 AS grams, i AS t_pos, array_to_string(w[i + 1 : i + k], ' ') AS g
+    FROM (SELECT *, unnest(range(len(w) - k + 1)) AS i FROM t))
+), tells AS (SELECT template, count(*) FILTER (tell) AS n_tells FROM tg GROUP BY template
 ), dg AS (
   SELECT doc_id, k, i AS pos, array_to_string(w[i + 1 : i + k], ' ') AS g
   FROM (SELECT doc_id, w, k, unnest(range(len(w) - k + 1)) AS i FROM d, (VALUES ({PHRASE_GRAM}), ({NOTICE_GRAM})) AS ks(k) WHERE len(w) >= k)
-), v AS MATERIALIZED (
-  SELECT doc_id, template, label, base, k, grams, pos - t_pos AS diagonal, count(*) AS votes, min(pos) AS lo
-  FROM dg JOIN tg USING (k, g) GROUP BY ALL
-), p AS (SELECT * FROM v WHERE base AND votes = grams
+), h AS MATERIALIZED (
+  SELECT doc_id, template, label, base, grams, pos, t_pos, tell, pos - t_pos AS diagonal FROM dg JOIN tg USING (k, g)
+), p AS (
+  SELECT doc_id, label, min(pos) AS lo FROM h WHERE base GROUP BY doc_id, template, label, diagonal HAVING count(*) = any_value(grams)
 ), b AS (
   SELECT doc_id, count(*) AS n_base, min(lo) AS first_word, max(lo) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM p GROUP BY doc_id
 ), i AS (
   SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS island
-  FROM (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) <= {DRIFT} THEN 0 ELSE 1 END AS new FROM v WHERE NOT base)
+  FROM (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) <= {DRIFT} THEN 0 ELSE 1 END AS new
+        FROM (SELECT DISTINCT doc_id, template, diagonal FROM h WHERE NOT base))
 ), m AS (
-  SELECT doc_id, label, least(1.0::DOUBLE, sum(votes)::DOUBLE / any_value(grams)) AS share FROM i GROUP BY doc_id, template, label, island
+  SELECT doc_id, label, count(DISTINCT t_pos)::DOUBLE / any_value(grams) AS share, count(DISTINCT t_pos) FILTER (tell) >= {COVER} * any_value(n_tells) AS told
+  FROM h JOIN i USING (doc_id, template, diagonal) JOIN tells USING (template) GROUP BY doc_id, template, label, island
 ), s AS (SELECT doc_id, max(share) AS best FROM m GROUP BY doc_id
 ), l AS (
-  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM p UNION ALL SELECT doc_id, label FROM m WHERE share >= {COVER}) GROUP BY doc_id
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT doc_id, label FROM p UNION ALL SELECT doc_id, label FROM m WHERE share >= {COVER} AND told) GROUP BY doc_id
 )
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0::DOUBLE) END AS score
