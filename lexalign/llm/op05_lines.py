@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE_CHARS, ascii_lower, table
+from .common import SPACE_CHARS, ascii_lower, table, written
 
 MIN_CHARS, MIN_DOCS = 40, 5
-#: Parts that the occurrences of a line are dealt to when they meet the shared lines.
-SALTS = 32
+#: A shared line is heavy if it has more than this share of all shared lines' documents; at most 1 / HEAVY are.
+HEAVY = 1e-4
 NO_ID = -(2**63)
 
 
@@ -27,13 +27,15 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
 
     A text is split at \n; null and empty texts are one empty line. A line's key is the line stripped of spaces, A-Z
     lower-cased. Keys of min_chars code points or more that min_docs documents or more hold lose their lines
-    everywhere but in the largest doc_id that holds them. Every row counts as a document; a null doc_id is less than
-    any other, and rows that share the largest doc_id all keep the line. An empty table gives no rows. Other columns
-    of docs play no part.
-
-    Counts are combined before the shuffle, so a line that a third of the documents hold costs one row a task. The
-    shared lines are copied to SALTS parts and their occurrences dealt to these by document, so that its occurrences
-    do not meet in one task either. Texts are shuffled once, to meet the positions of their dropped lines.
+    everywhere but in the largest doc_id that holds them. Rows that share a doc_id count as one document; a null doc_id
+    is less than any other, and rows that share the largest doc_id all keep the line. An empty table gives no rows.
+    Other columns of docs play no part.
+
+    Counts are combined before the shuffle, so a line that a third of the documents hold costs a row for each of them
+    there. Lines with more than HEAVY of all shared lines' documents, at most 1 / HEAVY of them whatever the corpus, are
+    broadcast to their occurrences; the others' occurrences meet them by hash, and none has many. The shared lines are
+    written in between, so both joins read the same. Texts are shuffled once, to meet the positions of their dropped
+    lines.
     """
     own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     own = own.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_text": F.xxhash64("text")})
@@ -44,13 +46,18 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
     shared = (
         per_doc.select("_id", F.explode("keys").alias("k"))
         .groupBy("k.h1", "k.h2")
-        .agg(F.count("*").alias("n"), F.max("_id").alias("keeper"))
+        .agg(F.count_distinct("_id").alias("n"), F.max("_id").alias("keeper"))
         .where(F.col("n") >= min_docs)
-        .select("h1", "h2", "keeper")
     )
-    shared = shared.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    keys = keys.withColumn("salt", F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int"))
-    dropped = keys.join(shared, ["h1", "h2", "salt"]).where(F.col("_id") < F.col("keeper")).groupBy("_id", "_text").agg(F.collect_set("pos").alias("gone"))
+    spark = docs.sparkSession
+    shared = written(spark, shared, "shared-lines")
+    heavy = F.col("n") > HEAVY * (shared.agg(F.sum("n")).first()[0] or 0)
+    few = F.broadcast(shared.where(heavy).select("h1", "h2", F.col("keeper").alias("_heavy")))
+    rest = shared.where(~heavy).select(F.col("h1").alias("_g1"), F.col("h2").alias("_g2"), F.col("keeper").alias("_other"))
+    # a heavy line's occurrences have met it by now, so they go anywhere
+    found = keys.join(few, ["h1", "h2"], "left").withColumn("_to", F.when(F.col("_heavy").isNull(), F.col("h1")).otherwise(F.xxhash64("_id", "_text", "pos")))
+    found = found.join(rest, (F.col("_to") == F.col("_g1")) & (F.col("h2") == F.col("_g2")), "left")
+    dropped = found.where(F.col("_id") < F.coalesce("_heavy", "_other")).groupBy("_id", "_text").agg(F.collect_set("pos").alias("gone"))
     both = own.join(dropped, ["_id", "_text"], "left").select("doc_id", F.split("text", "\n", -1).alias("lines"), F.coalesce("gone", F.array().cast("array<int>")).alias("gone"))
     kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     return both.select(
@@ -62,6 +69,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's digest of dedup_lines() over documents, with its defaults; rows, nulls and ties as there."""
     out = dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
