@@ -17,7 +17,8 @@ WEIGHTS, BUDGET, MOST = (3, 1, 2), 1.5, 2
 BLOCK_WORDS, SHARDS, SEED = 128, 16, 20
 #: Parts a source's documents are laid out in, so that no task orders a whole source.
 CHUNKS = 1024
-_PIECE = 65_536
+#: Slots that are permuted at a time, and the most tasks that do so.
+_PIECE, _TASKS = 16_384, 20_000
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -106,6 +107,8 @@ def plan(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS,
     kept = [c for c in keep or docs.columns if c not in added]
     own = docs.select(*dict.fromkeys([*kept, "doc_id", "source"]), F.coalesce(F.regexp_count("text", F.lit(_WORD)), F.lit(0)).cast("long").alias("size"))
     own = own.withColumn("_order", F.xxhash64(F.lit(seed), "doc_id")).withColumn("_chunk", F.pmod("_order", F.lit(CHUNKS)).cast("int"))
+    if "text" not in kept:  # then the rows are small, and words are counted once for both uses
+        own = written(spark, own, "mix-sizes")
     chunks = own.groupBy("source", "_chunk").agg(F.sum("size").alias("n"))
     chunks = written(spark, chunks, "mix-chunks")
     found = [(r["source"], r["n"]) for r in chunks.groupBy("source").agg(F.sum("n").alias("n")).collect()]
@@ -133,7 +136,8 @@ def plan(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = SHARDS,
     asked = spark.createDataFrame(ranges, "sid int, out_shard int, first long, n long, blocks long")
     asked = asked.select("sid", "out_shard", "first", "n", "blocks", F.explode(F.expr(f"sequence(0L, (n - 1) div {_PIECE})")).alias("p"))
     asked = asked.select("sid", "out_shard", (F.col("first") + F.col("p") * _PIECE).alias("first"), F.least(F.lit(_PIECE), F.col("n") - F.col("p") * _PIECE).alias("n"), "blocks")
-    picks = asked.repartition("sid", "first").mapInArrow(_slots_to_blocks(seed), "sid int, block long, out_shard int")
+    pieces = sum(-(-n // _PIECE) for *_, n, _ in ranges)  # the planner can't see how much work a piece is
+    picks = asked.repartition(max(1, min(pieces, _TASKS)), "sid", "first").mapInArrow(_slots_to_blocks(seed), "sid int, block long, out_shard int")
     of = placed.where("size > 0").select("sid", "start", "size", F.explode(F.expr(f"sequence(start div {block_words}, (start + size - 1) div {block_words})")).alias("block"))
     of = of.select("sid", "start", "block", F.greatest(F.lit(0), F.col("block") * block_words - F.col("start")).alias("from_word"), F.least(F.col("size"), (F.col("block") + 1) * block_words - F.col("start")).alias("to_word"))
     # the planner can't see how many slots the ranges unfold to, and would broadcast them
@@ -198,5 +202,6 @@ def mixed_texts(docs: DataFrame, block_words: int = BLOCK_WORDS, shards: int = S
 
 
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    """The contract's digest of mix() over documents, with its defaults; rows, nulls and ties as there."""
+    out = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), keep=["doc_id", "source"])
     return out.select("doc_id", "size", "source_size", "target", "taken")
