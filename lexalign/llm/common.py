@@ -34,20 +34,26 @@ def word_bytes(text: bytes | None) -> list[bytes]:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Texts can be long: Python workers get few rows, or 32 MB, at a time."""
+    """Texts can be long: Python workers get few rows, or 32 MB, at a time. The setting is the session's and stays."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all machines share, as spark.checkpoint.dir names it; a temporary one where that is unset."""
+    """The folder all machines share, as spark.checkpoint.dir names it, or the session's checkpoint folder.
+
+    Where neither is set, one machine alone gets a temporary folder; on a cluster that is an error, as no other machine
+    would see it.
+    """
     sc = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    found, current = spark.conf.get("spark.checkpoint.dir", None), sc._jsc.sc().getCheckpointDir()
+    if not found and current.isDefined():
+        return current.get()
     if not found:
-        current = sc._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            return current.get()
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that all machines share")
         found = tempfile.mkdtemp(prefix="lexalign-")
+    if not current.isDefined():
         sc.setCheckpointDir(found)
     return found
 

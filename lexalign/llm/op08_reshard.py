@@ -111,7 +111,7 @@ def reshard(docs: DataFrame, old_shard: Column | None = None, n_old: int = OLD_S
 
     size is the UTF-8 bytes of text (null: none) plus 1; new shards have nearly equal bytes, and documents leave
     their old shard (old_shard: 0 to n_old - 1, by default a hash of doc_id) only as the flow asks. Repeated rows and
-    null ids are documents like others; an empty table gives no rows. Columns of docs named as the result's are
+    null ids are documents like others, in a shard's block ordered by id, size and hash of the text; an empty table gives no rows. Columns of docs named as the result's are
     replaced.
 
     Only the n_old * blocks block sizes reach the driver, and the broadcast table of their new shards has as many
@@ -135,20 +135,25 @@ def reshard(docs: DataFrame, old_shard: Column | None = None, n_old: int = OLD_S
         begin[j] += r["n"]
     schema = T.StructType([T.StructField("old_shard", T.IntegerType()), T.StructField("_block", T.IntegerType()), T.StructField("shard", T.IntegerType()), T.StructField("_from", T.LongType())])
     placed = own.join(F.broadcast(spark.createDataFrame(known, schema)), ["old_shard", "_block"])
-    rank = F.row_number().over(Window.partitionBy("old_shard", "_block").orderBy("doc_id", "size"))
+    rank = F.row_number().over(Window.partitionBy("old_shard", "_block").orderBy("doc_id", "size", F.xxhash64("text")))
     return placed.select(*kept, "size", "old_shard", "shard", (F.col("_from") + rank - 1).alias("slot"))
 
 
 def rewrite(resharded: DataFrame, folder: str) -> list[int]:
-    """Writes the shards that gain or lose documents as Parquet, one folder each; the others' files stay valid."""
+    """Writes the shards that gain or lose documents as Parquet, one folder each; the others' files stay valid.
+
+    A shard's folder is replaced whole, so a run that is repeated leaves the same files; without a move nothing is
+    written. resharded is what reshard() gives. Returns the shards written, at most as many as there are.
+    """
     moved = resharded.where("shard <> old_shard").select(F.explode(F.array("shard", "old_shard")).alias("s")).distinct()
     shards = sorted(r[0] for r in moved.collect())  # at most as many as there are shards
     if shards:
-        resharded.where(F.col("shard").isin(shards)).write.mode("append").partitionBy("shard").parquet(folder)
+        resharded.where(F.col("shard").isin(shards)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(folder)
     return shards
 
 
 def op8_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's digest of reshard() over documents, by the law of bytes; rows, nulls and ties as there."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
     out = reshard(docs)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

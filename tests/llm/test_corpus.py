@@ -63,6 +63,20 @@ def test_licenses(spark):
     assert (got[4]["n_base"], got[4]["first_word"], got[4]["labels"]) == (0, None, "")
 
 
+def test_each_notice_has_its_own_label_only(spark):
+    kin = {
+        "cc-by": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "cc-by-nc": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+        "cc-by-sa": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "mpl": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    }
+    rows = [*kin.items(), ("", "this work is licensed under a creative commons deed"), ("", "is licensed under a creative is licensed under a creative " * 9)]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in op01_licenses.scan(docs).collect()}
+    assert [got[i] for i in range(len(rows))] == [label for label, _ in rows]
+
+
 def test_licenses_odd(spark):
     got = op01_licenses.scan(odd(spark)).collect()
     assert sorted((r["doc_id"] or 0, r["n_words"]) for r in got) == sorted((i or 0, len(words(t))) for i, t, *_ in odd_rows())
@@ -94,6 +108,15 @@ def test_vectors(spark):
     assert [tuple(r) for r in op02_ann.nearest(few).collect()] == [(0, 1, 1, 0.0)]
 
 
+def test_codes_sum_from_packed_bytes():
+    rng = np.random.default_rng(3)
+    for d in (5, 64, 70):
+        v, q = rng.standard_normal((40, d)), rng.standard_normal((7, d)).astype(np.float32)
+        codes = op02_ann.Codes(v)
+        signs = np.unpackbits(codes.bits, axis=1, count=d, bitorder="little").astype(float) * 2 - 1
+        assert np.allclose(codes.signed_sums(q), q @ signs.T, atol=1e-4)
+
+
 def test_block_max_is_exact():
     rng = random.Random(1)
     idf = np.array([rng.uniform(1, 3) for _ in range(40)])
@@ -271,7 +294,7 @@ def brute_lines(rows):
     for i, _, ls in lines:
         for k in {key(x) for x in ls}:
             if len(k) >= 40:
-                keys.setdefault(k, []).append(low if i is None else i)
+                keys.setdefault(k, set()).add(low if i is None else i)
     out = []
     for i, _, ls in lines:
         kept = [x for x in ls if not (len(key(x)) >= 40 and len(keys[key(x)]) >= 5 and (low if i is None else i) < max(keys[key(x)]))]
@@ -413,6 +436,7 @@ def test_reshard(spark, tmp_path):
     excess = sum(max(0, sum(r["size"] for r in rows if r["old_shard"] == i) - total // 16) for i in range(12))
     assert sum(r["size"] for r in rows if r["shard"] != r["old_shard"]) <= excess + 16 * biggest
     touched = op08_reshard.rewrite(out, str(tmp_path / "s"))
+    assert touched == op08_reshard.rewrite(out, str(tmp_path / "s"))  # a second run replaces, not adds
     assert spark.read.parquet(str(tmp_path / "s")).count() == sum(len(loads.get(s, [])) for s in touched)
     got = op08_reshard.reshard(odd(spark)).collect()
     assert sorted(r["size"] for r in got) == sorted(len((t or "").encode()) + 1 for _, t, *_ in odd_rows())
