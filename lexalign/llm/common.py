@@ -76,11 +76,16 @@ def _clean() -> None:
             pass
 
 
-def written(spark: SparkSession, df: DataFrame, kind: str) -> DataFrame:
-    """df written as Parquet in the shared folder and read again: its lineage ends there, whatever executor is lost."""
+def written(spark: SparkSession, df: DataFrame, kind: str, settle: bool = False) -> DataFrame:
+    """df written as Parquet in the shared folder and read again: its lineage ends there, whatever executor is lost.
+
+    settle: the shuffles behind it are let go at once, not when the driver next collects garbage; for large ones.
+    """
     path = f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     _written.append((spark, path))
+    if settle:
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -451,9 +451,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, trigger: int = TRIGGER
         return both.repartitionById(parts, "bucket").sortWithinPartitions("bucket", "kind")
 
     def step(df: DataFrame) -> DataFrame:
-        out = written(spark, df, "repeats")
-        spark.sparkContext._jvm.System.gc()  # lets Spark drop the step's shuffle files
-        return out
+        return written(spark, df, "repeats", settle=True)
 
     parsed = own.mapInArrow(_parse(length, trigger, buckets, hot_here), _SCHEMA)
     first = step(parsed.repartitionById(parts, "bucket").mapInArrow(_dictionary(length, buckets, hot), _SCHEMA))

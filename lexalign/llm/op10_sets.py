@@ -24,6 +24,8 @@ SMALL = 8
 #: Documents that tell which shingles are common, and shingles named so. They only order shingles: any order is exact.
 SAMPLE, COMMON = 4000, 100_000
 _BLOCK, _BITS = 512, 65_536
+_NAMES = ["u", "v", "token", "n", "pos"]
+_FOUND = "u long, v long, token long, n long, pos long"
 
 
 def shingles(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
@@ -113,7 +115,8 @@ def _pairs(rest: bool):
 
     The first shingle two sets share, at places i and j of theirs, leaves min(n - i, m - j) in common at most, so a pair
     that is not alike by that goes. Not rest: all pairs of small buckets, and for each member of larger ones its
-    neighbours by size and the bucket's middle. rest: all pairs of larger buckets whose roots differ.
+    neighbours by size and the bucket's middle; the members themselves come behind, with their shingle and no partner.
+    rest: all pairs of larger buckets whose roots differ.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +169,13 @@ def _pairs(rest: bool):
             out = np.unique(np.concatenate(found), axis=0)
             for at in range(0, len(out), 100_000):
                 part = out[at : at + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(part[:, 0])), pa.array(np.ascontiguousarray(part[:, 1]))], ["u", "v"])
+                none = pa.nulls(len(part), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(part[:, 0])), pa.array(np.ascontiguousarray(part[:, 1])), none, none, none], _NAMES)
+        if not rest:
+            i = np.flatnonzero(size[bucket] > SMALL)
+            for at in range(0, len(i), 100_000):
+                j = i[at : at + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(node[j]), pa.nulls(len(j), pa.int64()), pa.array(token[j]), pa.array(n[j]), pa.array(pos[j])], _NAMES)
 
     return run
 
@@ -183,22 +192,21 @@ def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(x, "u").join(y, "v").where(~far).select("u", "v")
 
 
-def _sets(docs: DataFrame, pairs: DataFrame, groups: DataFrame) -> DataFrame:
-    """node and own (its shingles) of the nodes in pairs, read from a text of each."""
-    need = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(groups, "node").select("text_hash").distinct()
+def _sets(docs: DataFrame, need: DataFrame, groups: DataFrame) -> DataFrame:
+    """node and own (its shingles) of the nodes in need, read from a text of each."""
+    texts = need.join(groups, "node").select("text_hash").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             own = [shingles(t) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([_node(x) for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())], ["node", "own"])
 
-    texts = docs.select(F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text")).join(need, "text_hash", "left_semi").select("text")
-    return texts.mapInArrow(run, "node long, own binary").dropDuplicates(["node"])
+    own = docs.select(F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text")).join(texts, "text_hash", "left_semi").select("text")
+    return own.mapInArrow(run, "node long, own binary").dropDuplicates(["node"])
 
 
-def _verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, groups: DataFrame) -> DataFrame:
+def _verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Those of pairs that are alike on their whole shingle sets."""
-    sets = written(spark, _sets(docs, pairs, groups), "shingle-sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -209,7 +217,11 @@ def _verified(spark: SparkSession, docs: DataFrame, pairs: DataFrame, groups: Da
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(sets.toDF("u", "x"), "u").join(sets.toDF("v", "y"), "v").select("u", "v", "x", "y")
-    return written(spark, both.mapInArrow(run, "u long, v long"), "alike")
+    return written(spark, both.mapInArrow(run, "u long, v long"), "alike", settle=True)
+
+
+def _nodes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
 
 
 def similar_texts(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -231,21 +243,26 @@ def similar_texts(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = written(spark, _prefixes(spark, docs), "prefixes")
-    groups = own.groupBy("node").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"), F.min("text_hash").alias("text_hash"))
-    nodes = written(spark, own.where("n > 0").dropDuplicates(["node"]).select("node", "n", "coord", "prefix"), "nodes")
-
-    def candidates(rooted: DataFrame, rest: bool) -> DataFrame:
-        tokens = rooted.select(F.posexplode("prefix").alias("pos", "token"), "node", "n", "root").select("token", "node", "n", "pos", "root")
-        dealt = tokens.repartition(parts, "token").mapInArrow(_pairs(rest), "u long, v long")
-        return written(spark, _near(dealt.distinct(), nodes), "pairs")
-
-    first = _verified(spark, docs, candidates(nodes.withColumn("root", F.col("node")), False), groups)
-    roots = components(spark, first)
-    rooted = nodes.join(roots, "node", "left").select("node", "n", "prefix", F.coalesce("root", "node").alias("root"))
-    second = _verified(spark, docs, candidates(rooted, True), groups)
     rows = own.select("doc_id", "text_hash", "node")
-    found = named_groups(spark, rows, groups, first.union(second), "node")
-    return found.select("doc_id", "text_hash", F.col("node").alias("fp"), "root", "component_id")
+    groups = rows.groupBy("node").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"), F.min("text_hash").alias("text_hash"))
+    nodes = written(spark, own.where("n > 0").dropDuplicates(["node"]).select("node", "n", "coord", "prefix"), "nodes", settle=True)
+
+    tokens = nodes.select(F.posexplode("prefix").alias("pos", "token"), "node", "n").select("token", "node", "n", "pos", F.col("node").alias("root"))
+    found = written(spark, tokens.repartition(parts, "token").mapInArrow(_pairs(False), _FOUND), "candidates", settle=True)
+    pairs = found.where("token is null").select("u", "v").distinct()
+    sets = written(spark, _sets(docs, _nodes_of(pairs), groups), "shingle-sets", settle=True)
+    first = _verified(spark, _near(pairs, nodes), sets)
+
+    members = found.where("token is not null").select("token", F.col("u").alias("node"), "n", "pos")
+    rooted = members.join(components(spark, first), "node", "left").select("token", "node", "n", "pos", F.coalesce("root", "node").alias("root"))
+    found = written(spark, rooted.repartition(parts, "token").mapInArrow(_pairs(True), _FOUND).select("u", "v").distinct(), "candidates")
+    pairs = _near(found, nodes)
+    missing = _nodes_of(pairs).join(sets, "node", "left_anti")
+    if missing.limit(1).count():
+        sets = sets.unionByName(written(spark, _sets(docs, missing, groups), "shingle-sets", settle=True))
+    second = _verified(spark, pairs, sets)
+    out = named_groups(spark, rows, groups, first.union(second), "node")
+    return out.select("doc_id", "text_hash", F.col("node").alias("fp"), "root", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
