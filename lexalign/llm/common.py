@@ -86,7 +86,16 @@ def written(spark: SparkSession, df: DataFrame, kind: str, settle: bool = False)
     _written.append((spark, path))
     if settle:
         spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def let_go(table: DataFrame) -> None:
+    """Removes a table that written() made and that nothing will read again."""
+    path = table._written_to
+    _written[:] = [x for x in _written if x[1] != path]
+    _remove(table.sparkSession, path)
 
 
 def checkpointed(spark: SparkSession, df: DataFrame) -> DataFrame:

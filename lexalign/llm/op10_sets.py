@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER_BYTES, small_batches, written
+from .common import LOWER_BYTES, let_go, small_batches, written
 from .op10_simhash import components, named_groups
 
 #: Words in a shingle; links are pairs of 4/5 similarity or more.
@@ -201,8 +201,8 @@ def _sets(docs: DataFrame, need: DataFrame, groups: DataFrame) -> DataFrame:
             own = [shingles(t) for t in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([_node(x) for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())], ["node", "own"])
 
-    own = docs.select(F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text")).join(texts, "text_hash", "left_semi").select("text")
-    return own.mapInArrow(run, "node long, own binary").dropDuplicates(["node"])
+    own = docs.select(F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text")).join(texts, "text_hash", "left_semi")
+    return own.dropDuplicates(["text_hash"]).select("text").mapInArrow(run, "node long, own binary")  # where the texts are by now
 
 
 def _verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -243,9 +243,10 @@ def similar_texts(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = written(spark, _prefixes(spark, docs), "prefixes")
-    rows = own.select("doc_id", "text_hash", "node")
+    rows = written(spark, own.select("doc_id", "text_hash", "node"), "rows")
     groups = rows.groupBy("node").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"), F.min("text_hash").alias("text_hash"))
     nodes = written(spark, own.where("n > 0").dropDuplicates(["node"]).select("node", "n", "coord", "prefix"), "nodes", settle=True)
+    let_go(own)
 
     tokens = nodes.select(F.posexplode("prefix").alias("pos", "token"), "node", "n").select("token", "node", "n", "pos", F.col("node").alias("root"))
     found = written(spark, tokens.repartition(parts, "token").mapInArrow(_pairs(False), _FOUND), "candidates", settle=True)
