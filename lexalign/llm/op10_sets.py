@@ -1,8 +1,9 @@
 """op10's wide setting: texts linked by word-shingle similarity of 4/5 or more, exactly.
 
-SimHash's own bit counts serve as the pivot tables here. The fingerprint is the set of shingle hashes; the reference for
-bit b is the set of all hashes with that bit. A set's distance to a reference (the size of the symmetric difference) is
-its size less twice its hashes with the bit, but for a constant, which is just the count that SimHash takes the sign of.
+The fingerprint is the set of shingle hashes here, and pairs are discarded by pivot tables as in the narrow setting. The
+references are all unions of REGIONS equal regions of hash space; a set's distance to a reference, the size of the
+symmetric difference, follows from its counts in the regions, which are its table. The greatest difference of two sets'
+distances to any of the 2^REGIONS references is the sum over the regions of their counts' differences.
 """
 
 from __future__ import annotations
@@ -23,7 +24,10 @@ SHINGLE, SEED = 5, 42
 SMALL = 8
 #: Documents that tell which shingles are common, and shingles named so. They only order shingles: any order is exact.
 SAMPLE, COMMON = 4000, 100_000
-_BLOCK, _BITS = 512, 65_536
+_BLOCK = 512
+#: Regions of hash space that the pivot tables count in.
+REGIONS = 1024
+_SHIFT = np.uint64(64 - 10)
 _NAMES = ["u", "v", "token", "n", "pos"]
 _FOUND = "u long, v long, token long, n long, pos long"
 
@@ -73,18 +77,20 @@ def _common(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return token.view(np.uint64)[order], n[order]
 
 
-def distances(own: np.ndarray) -> np.ndarray:
-    """Of a set of hashes, its distances to the 64 references, less a constant of each: size - 2 * hashes with the bit."""
-    if not len(own):
-        return np.zeros(64, np.int32)
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(own), _BITS):
-        ones += np.unpackbits(own[at : at + _BITS].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return (len(own) - 2 * ones).astype(np.int32)
+def regions(own: np.ndarray) -> bytes:
+    """How many of a set's hashes lie in each region, as two-byte numbers; counts that don't fit are cut, which lessens
+    differences only."""
+    return np.minimum(np.bincount((own >> _SHIFT).astype(np.int64), minlength=REGIONS), 65_535).astype("<u2").tobytes()
+
+
+def gaps(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """Greatest difference of distances to any reference, for each two sets' counts."""
+    a, b = (np.frombuffer(b"".join(t), "<u2").reshape(-1, REGIONS).astype(np.int32) for t in (x, y))
+    return np.abs(a - b).sum(1)
 
 
 def _prefixes(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, node (hash of the shingle set), n (its size), coord (distances()) and prefix: the
+    """doc_id, text_hash, node (hash of the shingle set), n (its size), coord (regions()) and prefix: the
     n - ceil(4n/5) + 1 least common shingles."""
     small_batches(spark)
     told = spark.sparkContext.broadcast(_common(docs))
@@ -101,13 +107,13 @@ def _prefixes(spark: SparkSession, docs: DataFrame) -> DataFrame:
                     rank = np.where(token[at] == own, often[at], 0)
                 node.append(_node(own))
                 n.append(len(own))
-                coord.append(distances(own))
+                coord.append(regions(own))
                 prefix.append(own[np.lexsort((own, rank))][: len(own) - (4 * len(own) + 4) // 5 + 1].view(np.int64))
-            cols = [pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(coord, pa.list_(pa.int32())), pa.array(prefix, pa.list_(pa.int64()))]
+            cols = [pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(coord, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([*b.columns[:2], *cols], ["doc_id", "text_hash", "node", "n", "coord", "prefix"])
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
-    return own.mapInArrow(run, "doc_id long, text_hash long, node long, n int, coord array<int>, prefix array<long>")
+    return own.mapInArrow(run, "doc_id long, text_hash long, node long, n int, coord binary, prefix array<long>")
 
 
 def _pairs(rest: bool):
@@ -180,16 +186,22 @@ def _pairs(rest: bool):
     return run
 
 
-def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _near(spark: SparkSession, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs whose distances to each reference differ by no more than two sets that are alike can differ.
 
     Sets of n and m that are 4/5 similar differ in (n + m) / 9 hashes at most, and no distance to a reference differs by
     more than the sets do; so no pair that is alike goes.
     """
-    x = nodes.select(F.col("node").alias("u"), F.col("n").alias("_n"), F.col("coord").alias("_x"))
-    y = nodes.select(F.col("node").alias("v"), F.col("n").alias("_m"), F.col("coord").alias("_y"))
-    far = F.exists(F.zip_with("_x", "_y", lambda a, b: 9 * F.abs(a - b)), lambda d: d > F.col("_n") + F.col("_m"))
-    return pairs.join(x, "u").join(y, "v").where(~far).select("u", "v")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                most = b.column("n").to_numpy().astype(np.int64) + b.column("m").to_numpy()
+                keep = 9 * gaps(b.column("x").to_pylist(), b.column("y").to_pylist()) <= most
+                yield b.select(["u", "v"]).filter(pa.array(keep))
+
+    x, y = (nodes.select(F.col("node").alias(a), F.col("n").alias(b), F.col("coord").alias(c)) for a, b, c in (("u", "n", "x"), ("v", "m", "y")))
+    return written(spark, pairs.join(x, "u").join(y, "v").select("u", "v", "n", "m", "x", "y").mapInArrow(run, "u long, v long"), "near", settle=True)
 
 
 def _sets(docs: DataFrame, need: DataFrame, groups: DataFrame) -> DataFrame:
@@ -250,14 +262,13 @@ def similar_texts(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
     tokens = nodes.select(F.posexplode("prefix").alias("pos", "token"), "node", "n").select("token", "node", "n", "pos", F.col("node").alias("root"))
     found = written(spark, tokens.repartition(parts, "token").mapInArrow(_pairs(False), _FOUND), "candidates", settle=True)
-    pairs = found.where("token is null").select("u", "v").distinct()
+    pairs = _near(spark, found.where("token is null").select("u", "v").distinct(), nodes)
     sets = written(spark, _sets(docs, _nodes_of(pairs), groups), "shingle-sets", settle=True)
-    first = _verified(spark, _near(pairs, nodes), sets)
+    first = _verified(spark, pairs, sets)
 
     members = found.where("token is not null").select("token", F.col("u").alias("node"), "n", "pos")
     rooted = members.join(components(spark, first), "node", "left").select("token", "node", "n", "pos", F.coalesce("root", "node").alias("root"))
-    found = written(spark, rooted.repartition(parts, "token").mapInArrow(_pairs(True), _FOUND).select("u", "v").distinct(), "candidates")
-    pairs = _near(found, nodes)
+    pairs = _near(spark, rooted.repartition(parts, "token").mapInArrow(_pairs(True), _FOUND).select("u", "v").distinct(), nodes)
     missing = _nodes_of(pairs).join(sets, "node", "left_anti")
     if missing.limit(1).count():
         sets = sets.unionByName(written(spark, _sets(docs, missing, groups), "shingle-sets", settle=True))

@@ -513,7 +513,7 @@ def test_set_distances_bound_the_difference():
     for _ in range(50):
         both = rng.integers(0, 2**64, rng.integers(0, 300), dtype=np.uint64)
         x, y = (np.unique(np.concatenate((both, rng.integers(0, 2**64, rng.integers(0, 40), dtype=np.uint64)))) for _ in range(2))
-        assert np.abs(op10_sets.distances(x) - op10_sets.distances(y)).max() <= len(np.setxor1d(x, y))
+        assert op10_sets.gaps([op10_sets.regions(x)], [op10_sets.regions(y)])[0] <= len(np.setxor1d(x, y))
 
 
 @pytest.mark.parametrize("most", [512, 2])
