@@ -22,11 +22,13 @@ from .op10_simhash import components, named_groups
 SHINGLE, SEED = 5, 42
 #: Buckets of up to so many shingle sets give all their pairs at once; larger ones first a few pairs a member.
 SMALL = 8
+#: Members of a large bucket that all others meet in the second round.
+HUBS = 3
 #: Documents that tell which shingles are common, and shingles named so. They only order shingles: any order is exact.
 SAMPLE, COMMON = 4000, 100_000
 _BLOCK = 512
 #: Regions of hash space that the pivot tables count in.
-REGIONS = 1024
+REGIONS, _ROUGH = 1024, 64
 _SHIFT = np.uint64(64 - 10)
 _NAMES = ["u", "v", "token", "n", "pos"]
 _FOUND = "u long, v long, token long, n long, pos long"
@@ -83,6 +85,11 @@ def regions(own: np.ndarray) -> bytes:
     return np.minimum(np.bincount((own >> _SHIFT).astype(np.int64), minlength=REGIONS), 65_535).astype("<u2").tobytes()
 
 
+def rough_of(coord: bytes) -> bytes:
+    """Counts of _ROUGH larger regions, a byte each; counts beyond 255 are cut."""
+    return np.minimum(np.frombuffer(coord, "<u2").reshape(_ROUGH, -1).sum(1, dtype=np.int64), 255).astype(np.uint8).tobytes()
+
+
 def gaps(x: list[bytes], y: list[bytes]) -> np.ndarray:
     """Greatest difference of distances to any reference, for each two sets' counts."""
     a, b = (np.frombuffer(b"".join(t), "<u2").reshape(-1, REGIONS).astype(np.int32) for t in (x, y))
@@ -90,7 +97,7 @@ def gaps(x: list[bytes], y: list[bytes]) -> np.ndarray:
 
 
 def _prefixes(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, node (hash of the shingle set), n (its size), coord (regions()) and prefix: the
+    """doc_id, text_hash, node (hash of the shingle set), n (its size), coord (regions()), rough (rough_of()) and prefix: the
     n - ceil(4n/5) + 1 least common shingles."""
     small_batches(spark)
     told = spark.sparkContext.broadcast(_common(docs))
@@ -98,7 +105,7 @@ def _prefixes(spark: SparkSession, docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, often = told.value
         for b in batches:
-            node, n, prefix, coord = [], [], [], []
+            node, n, prefix, coord, rough = [], [], [], [], []
             for text in b.column(2).to_pylist():
                 own = shingles(text)
                 rank = np.zeros(len(own), np.int64)
@@ -108,30 +115,34 @@ def _prefixes(spark: SparkSession, docs: DataFrame) -> DataFrame:
                 node.append(_node(own))
                 n.append(len(own))
                 coord.append(regions(own))
+                rough.append(rough_of(coord[-1]))
                 prefix.append(own[np.lexsort((own, rank))][: len(own) - (4 * len(own) + 4) // 5 + 1].view(np.int64))
-            cols = [pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(coord, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:2], *cols], ["doc_id", "text_hash", "node", "n", "coord", "prefix"])
+            cols = [pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(coord, pa.binary()), pa.array(rough, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], *cols], ["doc_id", "text_hash", "node", "n", "coord", "rough", "prefix"])
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
-    return own.mapInArrow(run, "doc_id long, text_hash long, node long, n int, coord binary, prefix array<long>")
+    return own.mapInArrow(run, "doc_id long, text_hash long, node long, n int, coord binary, rough binary, prefix array<long>")
 
 
-def _pairs(rest: bool):
+def _pairs(rest: bool, hubs: int = 0):
     """Pairs to verify, for partitions that hold whole buckets (sets with one prefix shingle).
 
     The first shingle two sets share, at places i and j of theirs, leaves min(n - i, m - j) in common at most, so a pair
-    that is not alike by that goes. Not rest: all pairs of small buckets, and for each member of larger ones its
-    neighbours by size and the bucket's middle; the members themselves come behind, with their shingle and no partner.
-    rest: all pairs of larger buckets whose roots differ.
+    that is not alike by that goes. Not rest: all pairs of small buckets, and for each member of larger ones those with
+    the least and the greatest node there, which are the same in most buckets of a group of copies; the members
+    themselves come behind, with their shingle and no partner. rest: all pairs of larger buckets whose roots differ and
+    that the rough pivot tables leave; with hubs, of these only those with the hubs members nearest to the bucket's mean
+    counts, which what changed in a copy changes least.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [[c.to_numpy() for c in b.columns] for b in batches]
+        got = [[*(c.to_numpy() for c in b.columns[:5]), *(c.to_pylist() for c in b.columns[5:])] for b in batches]
         if not got:
             return
-        token, node, n, pos, root = (np.concatenate(x) for x in zip(*got, strict=True))
+        token, node, n, pos, root = (np.concatenate(x) for x in zip(*(g[:5] for g in got), strict=True))
         order = np.lexsort((node, n, token))
         token, node, n, pos, root = (c[order] for c in (token, node, n.astype(np.int64), pos.astype(np.int64), root))
+        rough = np.frombuffer(b"".join(x for g in got for x in g[5]), np.uint8).reshape(-1, _ROUGH)[order] if rest else None
         cut = np.concatenate(([0], np.flatnonzero(np.diff(token)) + 1, [len(token)]))
         size = np.diff(cut)
         found: list[np.ndarray] = []
@@ -143,6 +154,9 @@ def _pairs(rest: bool):
             if rest:
                 keep &= root[i] != root[j]
             i, j = i[keep], j[keep]
+            if rest and len(i):
+                keep = 9 * np.abs(rough[i].astype(np.int16) - rough[j]).sum(1, dtype=np.int64) <= n[i] + n[j]
+                i, j = i[keep], j[keep]
             if len(i):
                 found.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], 1))
                 held += len(i)
@@ -152,17 +166,23 @@ def _pairs(rest: bool):
 
         bucket = np.repeat(np.arange(len(size)), size)
         if not rest:
-            for step in range(1, SMALL):  # within small buckets all steps, within large ones two
+            for step in range(1, SMALL):
                 i = np.arange(len(token) - step)
-                i = i[(bucket[i] == bucket[i + step]) & ((size[bucket[i]] <= SMALL) | (step <= 2))]
+                i = i[(bucket[i] == bucket[i + step]) & (size[bucket[i]] <= SMALL)]
                 take(i, i + step)
-            middle = (cut[:-1] + size // 2)[bucket]
             i = np.flatnonzero(size[bucket] > SMALL)
-            take(i, middle[i])
+            by_node = np.lexsort((node, bucket))  # each bucket keeps its places
+            take(i, by_node[cut[:-1]][bucket[i]])
+            take(i, by_node[cut[1:] - 1][bucket[i]])
         else:
             for s, e in zip(cut[:-1][size > SMALL], cut[1:][size > SMALL], strict=True):
                 if (root[s:e] == root[s]).all():
                     continue
+                if hubs:
+                    far = np.abs(rough[s:e] - rough[s:e].mean(0)).sum(1)
+                    for c in (np.lexsort((node[s:e], far))[:hubs] + s).tolist():
+                        take(np.arange(s, e), np.full(e - s, c))
+                    continue
                 for at in range(s, e, _BLOCK):
                     stop = min(e, at + _BLOCK)
                     for to in range(at, e, _BLOCK):
@@ -247,8 +267,8 @@ def similar_texts(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
     All links count: two sets that are 4/5 similar share one of the n - ceil(4n/5) + 1 first shingles of both in any
     common order, so the sets meet in buckets of these, rarer shingles first; pairs that the pivot tables leave are
-    verified on their whole sets. Large buckets link a few pairs a member first, and compare all pairs after that whose
-    members are not yet in one component.
+    verified on their whole sets. Large buckets link a few pairs a member first, in two rounds, and compare all pairs after
+    that whose members are not yet in one component.
     """
     if shingle != SHINGLE:
         raise ValueError(f"shingles have {SHINGLE} words here")
@@ -257,23 +277,26 @@ def similar_texts(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     own = written(spark, _prefixes(spark, docs), "prefixes")
     rows = written(spark, own.select("doc_id", "text_hash", "node"), "rows")
     groups = rows.groupBy("node").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"), F.min("text_hash").alias("text_hash"))
-    nodes = written(spark, own.where("n > 0").dropDuplicates(["node"]).select("node", "n", "coord", "prefix"), "nodes", settle=True)
+    nodes = written(spark, own.where("n > 0").dropDuplicates(["node"]).select("node", "n", "coord", "rough", "prefix"), "nodes", settle=True)
     let_go(own)
 
     tokens = nodes.select(F.posexplode("prefix").alias("pos", "token"), "node", "n").select("token", "node", "n", "pos", F.col("node").alias("root"))
     found = written(spark, tokens.repartition(parts, "token").mapInArrow(_pairs(False), _FOUND), "candidates", settle=True)
     pairs = _near(spark, found.where("token is null").select("u", "v").distinct(), nodes)
     sets = written(spark, _sets(docs, _nodes_of(pairs), groups), "shingle-sets", settle=True)
-    first = _verified(spark, pairs, sets)
+    links = _verified(spark, pairs, sets)
 
     members = found.where("token is not null").select("token", F.col("u").alias("node"), "n", "pos")
-    rooted = members.join(components(spark, first), "node", "left").select("token", "node", "n", "pos", F.coalesce("root", "node").alias("root"))
-    pairs = _near(spark, rooted.repartition(parts, "token").mapInArrow(_pairs(True), _FOUND).select("u", "v").distinct(), nodes)
-    missing = _nodes_of(pairs).join(sets, "node", "left_anti")
-    if missing.limit(1).count():
-        sets = sets.unionByName(written(spark, _sets(docs, missing, groups), "shingle-sets", settle=True))
-    second = _verified(spark, pairs, sets)
-    out = named_groups(spark, rows, groups, first.union(second), "node")
+    for hubs in (HUBS, 0):  # the hubs join most of a group, so that few pairs are left for the last round
+        known = nodes.select("node", "rough").join(components(spark, links), "node", "left").select("node", "rough", F.coalesce("root", "node").alias("root"))
+        rooted = members.join(known, "node").select("token", "node", "n", "pos", "root", "rough")
+        rest = written(spark, rooted.repartition(parts, "token").mapInArrow(_pairs(True, hubs), _FOUND).select("u", "v"), "rest", settle=True)
+        pairs = _near(spark, rest.distinct(), nodes)
+        missing = _nodes_of(pairs).join(sets, "node", "left_anti")
+        if missing.limit(1).count():
+            sets = sets.unionByName(written(spark, _sets(docs, missing, groups), "shingle-sets", settle=True))
+        links = links.union(_verified(spark, pairs, sets))
+    out = named_groups(spark, rows, groups, links, "node")
     return out.select("doc_id", "text_hash", F.col("node").alias("fp"), "root", "component_id")
 
 
