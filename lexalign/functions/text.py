@@ -214,7 +214,7 @@ def simple_key(c: Column | str) -> Column:
 def despaced(c: Column) -> Column:
     """Letters set apart by single spaces are joined, where over two parts are mostly one letter; wide gaps stay gaps."""
     def joined(v: Column) -> Column:
-        parts = F.filter(F.split(v, " "), lambda p: p != "")
+        parts = F.split(v, " ")  # wide gaps leave empty parts, which count
         apart = let(parts, lambda ps: (F.size(ps) > 2) & (F.size(F.filter(ps, lambda p: F.length(p) == 1)) > 0.6 * F.size(ps)))
         words = F.transform(F.split(v, r"\s{2,}"), lambda w: F.regexp_replace(w, " ", ""))
         return F.when(apart, F.array_join(words, " ")).otherwise(v)
@@ -223,8 +223,8 @@ def despaced(c: Column) -> Column:
 
 
 def clean_spaces(c: Column | str) -> Column:
-    """Each line stripped, despaced and squeezed; blank lines go."""
-    lines = F.transform(F.split(text_of(c), "\n"), lambda x: squeeze(despaced(strip(x))))
+    """Each line stripped, despaced and its runs of blanks squeezed; blank lines go. Any line end ends a line."""
+    lines = F.transform(F.split(text_of(c), "\r\n|\r|\n"), lambda x: F.regexp_replace(despaced(strip(x)), " +", " "))
     return F.array_join(F.filter(lines, lambda x: x != ""), "\n")
 
 

@@ -24,17 +24,18 @@ class Settings:
     url: str = "https://ec.europa.eu/food/plant/pesticides/eu-pesticides-database/active-substances/?event=as.details&as_id={id}"
 
 
-#: Rows of a table that is joined by broadcast; beyond, joins shuffle.
-BROADCAST_ROWS = 200_000
+#: Rows and bytes of a table that is joined by broadcast; beyond, joins shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 256 << 20
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df, marked for broadcast only if it has at most rows rows; the check reads no more than that.
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> DataFrame:
+    """df, marked for broadcast only if it has at most rows rows and, written out, most bytes; the check reads no more.
 
     What the check worked out is kept for the join.
     """
     kept = df.persist()
-    if kept.limit(rows + 1).count() <= rows:
+    n, size = kept.limit(rows + 1).select(F.octet_length(F.to_json(F.struct("*"))).alias("b")).agg(F.count("*"), F.coalesce(F.sum("b"), F.lit(0))).first()
+    if n <= rows and size <= most:
         return F.broadcast(kept)
     kept.unpersist()
     return df

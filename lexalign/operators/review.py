@@ -170,7 +170,7 @@ def rollup(products: DataFrame, units: DataFrame, key: str = "row_id") -> DataFr
 def reinject(products: DataFrame, formula: str, details: str, decisions: DataFrame, reference: DataFrame, as_of: str) -> DataFrame:
     """rollup() of products with row_id: settled details of the first run count, then decisions; reference needs ord."""
     units = units_of(products, formula)
-    before = products.select("row_id", F.explode(parsed_details(F.col(details))).alias("_d")).select("row_id", F.col("_d.norm").alias("norm"), F.col("_d.name").alias("_was")).groupBy("row_id", "norm").agg(F.last("_was").alias("_was"))
+    before = products.select("row_id", F.posexplode(parsed_details(F.col(details))).alias("_at", "_d")).select("row_id", "_at", F.col("_d.norm").alias("norm"), F.col("_d.name").alias("_was")).groupBy("row_id", "norm").agg(F.max_by("_was", "_at").alias("_was"))
     said = small(decisions.withColumn("_res", classify_resolution(F.col("decision"), F.col("match_name"))).select("norm", F.col("_res.name").alias("_name"), F.col("_res.label").alias("_label")))
     each = units.join(before, ["row_id", "norm"], "left").join(said, "norm", "left")
     each = each.withColumns({"name": F.coalesce("_was", "_name", F.lit("")), "label": F.when(F.col("_was").isNotNull(), "Auto Mapped").otherwise(F.coalesce("_label", F.lit("Pending Review")))})

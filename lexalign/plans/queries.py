@@ -200,7 +200,7 @@ def match_loose(spark, d):
 
 @query()
 def review_queue(spark, d):
-    _, queue, _ = review.build_queue(products(spark, d), "formula", matching.candidates(reference(spark, d)), _hist(spark, d), slots=4)
+    _, queue, _ = review.build_queue(products(spark, d), "formula", matching.candidates(reference(spark, d)), _hist(spark, d))
     return queue
 
 
@@ -210,10 +210,10 @@ _DOT = "list_reduce(list_transform(range(1, len({a}) + 1), lambda i: CAST({a}[i]
 @query(f"""SELECT query_id, CAST(rank AS INTEGER) AS rank, item_id, similarity FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, item_id) AS rank FROM (
     SELECT q.vec_id AS query_id, x.vec_id AS item_id, {_DOT.format(a='q.embedding', b='x.embedding')} / (sqrt({_DOT.format(a='q.embedding', b='q.embedding')}) * sqrt({_DOT.format(a='x.embedding', b='x.embedding')})) AS similarity
-    FROM embeddings q, (SELECT e.* FROM embeddings e JOIN (SELECT min(vec_id) AS m FROM embeddings GROUP BY label) ON vec_id = m) x)) WHERE rank <= 5""")
+    FROM embeddings q, embeddings x)) WHERE rank <= 5""")
 def semantic_candidates(spark, d):
     e = t(spark, d, "embeddings")
-    index = matching.first_of(e, ["label"], [F.col("vec_id")]).select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("item_vec"))
+    index = e.select(F.col("vec_id").alias("item_id"), F.col("embedding").alias("item_vec"))
     return matching.semantic_top(e.select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query_vec")), index).select("query_id", "rank", "item_id", "similarity")
 
 

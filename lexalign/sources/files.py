@@ -8,6 +8,7 @@ import time
 import urllib.request
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,20 +50,29 @@ def read_delimited(spark: SparkSession, path: str, sep: str = ",", encoding: str
 
 
 def probe_encoding(spark: SparkSession, path: str, encodings: tuple[str, ...] = ENCODINGS) -> str:
-    """The first encoding that the file's first megabyte reads in."""
-    head = bytes(spark.read.format("binaryFile").load(path).select(F.substring("content", 1, 1 << 20)).first()[0])
-    for e in encodings:
+    """The first encoding that the whole file reads in, or all files of a folder; tried where the files are read."""
+    def reads(content: bytes, encoding: str) -> bool:
         try:
-            head.decode(e)
+            content.decode(encoding)
+        except UnicodeDecodeError:
+            return False
+        return True
+
+    def run(batches):
+        for b in batches:
+            fits = [[reads(x, e) for e in encodings] for x in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(fits, pa.list_(pa.bool_()))], ["fits"])
+
+    found = [r["fits"] for r in spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "fits array<boolean>").distinct().collect()]
+    for i, e in enumerate(encodings):
+        if found and all(f[i] for f in found):
             return e
-        except UnicodeDecodeError as err:
-            if err.start > len(head) - 4:  # a character that the cut went through
-                return e
     raise ValueError(f"{path}: none of {', '.join(encodings)}")
 
 
-def write_delimited(df: DataFrame, path: str, sep: str = ",", single: bool = False) -> None:
-    """A folder of delimited files with heads; one file if single, for results that people open."""
+def write_delimited(df: DataFrame, path: str, sep: str = ",", single: bool = False, mark: bool = True) -> None:
+    """A folder of delimited files with heads, each behind a byte-order mark; one file if single, for people to open."""
+    df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0]) if mark else df
     (df.coalesce(1) if single else df).write.mode("overwrite").option("header", True).option("sep", sep).option("escape", '"').csv(path)
 
 

@@ -47,7 +47,7 @@ def test_split(spark):
 
 def test_cells(spark):
     many(spark, [("Alpha Works / Beta Co", ["Alpha Works", "Beta Co"]), ("Alpha Works\nLTD\nGamma Farm", ["Alpha Works LTD", "Gamma Farm"]), (None, [])], split.cell_entities)
-    many(spark, [("G l y c e l", "Glycel"), ("Two words", "Two words")], text.clean_spaces)
+    many(spark, [("G l y c e l", "Glycel"), ("Two words", "Two words"), ("A B   CD", "A B CD"), ("a\rb\r\nc", "a\nb\nc"), ("two\twords  here", "two\twords here")], text.clean_spaces)
     many(spark, [("", True), ("EC", True), ("Ltd.", True), ("Real Name", False), ("!!", False)], text.is_fragment)
 
 
