@@ -131,7 +131,7 @@ def _pairs(rest: bool, hubs: int = 0):
     that is not alike by that goes. Not rest: all pairs of small buckets, and for each member of larger ones those with
     the least and the greatest node there, which are the same in most buckets of a group of copies; the members
     themselves come behind, with their shingle and no partner. rest: all pairs of larger buckets whose roots differ and
-    that the rough pivot tables leave; with hubs, of these only those with the hubs members nearest to the bucket's mean
+    that the rough pivot tables leave, without a look at those within a large group of one root; with hubs, of these only those with the hubs members nearest to the bucket's mean
     counts, which what changed in a copy changes least.
     """
 
@@ -164,6 +164,18 @@ def _pairs(rest: bool, hubs: int = 0):
                 found = [np.unique(np.concatenate(found), axis=0)]
                 held = len(found[0]) // 2
 
+        def meet(a: np.ndarray, b: np.ndarray) -> None:
+            """Pairs of a and b, members by rising size, or of a with itself; blocks of sizes too unlike are passed by."""
+            small, large = 5 * n[b], 4 * n[b]
+            for at in range(0, len(a), _BLOCK):
+                part = a[at : at + _BLOCK]
+                low = at if b is a else int(np.searchsorted(small, 4 * n[part[0]]))
+                for to in range(low, int(np.searchsorted(large, 5 * n[part[-1]], "right")), _BLOCK):
+                    i, j = (x.ravel() for x in np.meshgrid(part, b[to : to + _BLOCK], indexing="ij"))
+                    if b is a:
+                        i, j = i[i < j], j[i < j]
+                    take(i, j)
+
         bucket = np.repeat(np.arange(len(size)), size)
         if not rest:
             for step in range(1, SMALL):
@@ -183,14 +195,16 @@ def _pairs(rest: bool, hubs: int = 0):
                     for c in (np.lexsort((node[s:e], far))[:hubs] + s).tolist():
                         take(np.arange(s, e), np.full(e - s, c))
                     continue
-                for at in range(s, e, _BLOCK):
-                    stop = min(e, at + _BLOCK)
-                    for to in range(at, e, _BLOCK):
-                        end = min(e, to + _BLOCK)
-                        if 5 * n[stop - 1] < 4 * n[to]:
-                            break  # sizes rise: those beyond are too large for any here
-                        i, j = (x.ravel() for x in np.meshgrid(np.arange(at, stop), np.arange(to, end), indexing="ij"))
-                        take(i[i < j], j[i < j])
+                left = np.arange(s, e)
+                while True:  # a root's members meet the others only; once no root has a quarter of them, little is spared
+                    own, count = np.unique(root[left], return_counts=True)
+                    if 4 * count.max() < len(left) or len(own) == 1:
+                        break
+                    big = root[left] == own[count.argmax()]
+                    meet(left[~big], left[big])
+                    left = left[~big]
+                if len(own) > 1:
+                    meet(left, left)
         if found:
             out = np.unique(np.concatenate(found), axis=0)
             for at in range(0, len(out), 100_000):

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -543,3 +544,27 @@ def test_near_duplicates(spark):
     assert sorted((r["doc_id"], r["fp"] % 2**64, r["component_id"]) for r in got) == sorted((i, f, low[c]) for (i, _), f, c in zip(rows, fps, comp, strict=True))
     assert op10_simhash.near_duplicates(empty(spark)).count() == 0
     assert op10_simhash.near_duplicates(odd(spark)).count() == len(odd_rows())
+
+
+@pytest.mark.parametrize(("roots", "common"), [(1, 0.0), (3, 0.0), (40, 0.6), (2000, 0.5), (2000, 0.0)])
+def test_last_round_meets_all_unlike_roots(roots, common):
+    """Pairs of large buckets against brute force, with root groups of any size."""
+    from lexalign.llm import op10_sets as sets
+
+    rng = np.random.default_rng(roots)
+    size = 700
+    token = rng.integers(0, 2, size)
+    node = np.arange(size) + 1000
+    n = rng.integers(20, 60, size)
+    pos = rng.integers(0, 4, size)
+    root = np.where(rng.random(size) < common, 0, rng.integers(0, roots, size))
+    rough = [x.tobytes() for x in rng.integers(0, 2, (size, sets._ROUGH)).astype(np.uint8) // 2]
+    batch = pa.RecordBatch.from_arrays([*map(pa.array, (token, node, n, pos, root)), pa.array(rough, pa.binary())], ["token", "node", "n", "pos", "root", "rough"])
+    got = {p for b in sets._pairs(True)(iter([batch])) for p in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)}
+    want = set()
+    for i in range(size):
+        for j in range(i + 1, size):
+            if token[i] == token[j] and root[i] != root[j] and sets.alike(min(n[i] - pos[i], n[j] - pos[j]), n[i], n[j]):
+                want.add((int(node[i]), int(node[j])))
+    assert got == want
+    assert bool(want) == (roots > 1)
