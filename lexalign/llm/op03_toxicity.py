@@ -16,14 +16,18 @@ from .learn import calibrated, fold, label_sample, platt, sampled_texts
 
 #: Labelled documents of each class in the index, neighbours that vote, documents whose own votes calibrate the scores.
 SAMPLE, NEIGHBOURS, CALIBRATE = 3000, 15, 600
-#: Documents in a block of a posting list, and blocks that a search opens first.
-BLOCK, FIRST = 64, 6
+#: Documents in a block of a long posting list, and documents that a search completes first.
+BLOCK, FIRST = 8, 64
+#: A list is long if it holds more than this share of the documents.
+LONG = 1 / 8
 #: Characters of the word beginnings and ends that are terms beside whole words.
 AFFIXES = (4, 5, 6)
 #: Weight of the prior against the neighbours' votes, which weigh 1 / (DISTANCE + 1 - cosine).
 PRIOR, DISTANCE = 0.5, 0.1
 #: Weight of a plain word against that of a term that tells the label.
 PLAIN = 0.15
+#: Words whose terms a task remembers.
+_KNOWN = 200_000
 _EVIDENCE = "array<struct<doc_id:long,cosine:double,toxic:int>>"
 
 
@@ -41,7 +45,10 @@ def terms_of(words: set[str]) -> set[str]:
 
 
 class Index:
-    """Unit TF-IDF vectors of labelled documents as posting lists in blocks, each with its greatest weight.
+    """Unit TF-IDF vectors of labelled documents as posting lists, long ones in blocks, each with its greatest weight.
+
+    A long list has a place for every document, so a block of it is looked up, not searched; all long lists together have
+    at most 1 / LONG places a posting.
 
     terms: those that tell the label, found by an automaton; words: the place of each word behind them. vectors: a
     document's term numbers and weights.
@@ -53,52 +60,53 @@ class Index:
         self.terms, self.words, self.idf, self.empty_rate = terms, words, idf, empty_rate
         self.ids, self.toxic, self.weight = ids[order], toxic[order], weight[order]
         self.slope, self.shift = 1.0, 0.0
-        self.blocks = -(-len(order) // BLOCK)
         held = [vectors[i] for i in order]
         t = np.concatenate([v[0] for v in held]) if held else np.empty(0, np.int64)
         w = np.concatenate([v[1] for v in held]) if held else np.empty(0)
         place = np.repeat(np.arange(len(held)), [len(v[0]) for v in held])
+        size = np.bincount(t, minlength=len(idf))
+        long = np.flatnonzero(size > LONG * len(held))
+        self.column = np.full(len(idf), -1)  # of a term's long list
+        self.column[long] = np.arange(len(long))
+        in_long = self.column[t] >= 0
+        self.dense = np.zeros((len(held), len(long)))
+        self.dense[place[in_long], self.column[t[in_long]]] = w[in_long]
+        self.most = np.maximum.reduceat(self.dense, np.arange(0, len(held), BLOCK), axis=0) if held else self.dense
+        t, w, place = t[~in_long], w[~in_long], place[~in_long]
         by = np.lexsort((place, t))
-        t, self.w, self.place = t[by], w[by], place[by].astype(np.int32)
-        block = self.place // BLOCK
-        new = np.flatnonzero(np.concatenate(([True], (t[1:] != t[:-1]) | (block[1:] != block[:-1])))) if len(t) else np.empty(0, np.int64)
-        self.start = np.concatenate((new, [len(t)]))  # of a term's postings in a block
-        self.block = block[new]
-        self.most = np.maximum.reduceat(self.w, new) if len(new) else np.empty(0)
-        self.lists = np.searchsorted(t[new], np.arange(len(idf) + 1))  # of a term's blocks
+        self.w, self.place = w[by], place[by].astype(np.int32)
+        self.start = np.searchsorted(t[by], np.arange(len(idf) + 1))  # of a term's short list
 
     def nearest(self, query: tuple[np.ndarray, np.ndarray], k: int, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest, exactly: nearest first, ties to the smaller doc_id.
 
-        A block's bound is the sum of the query's weights times the block's greatest weights. The blocks of the best
-        bounds are opened first; of the others those whose bounds reach the k-th best cosine found.
+        The short lists are added up. A document can reach that sum and its block's bound, the sum of the query's weights
+        times the block's greatest weights in the long lists. Documents that can reach most are completed from the long
+        lists first; of the others those that can reach the k-th best cosine found.
         """
         at, weight = query
-        lists = _ranges(self.lists[at], self.lists[at + 1])
-        own = np.repeat(weight, self.lists[at + 1] - self.lists[at])
-        bound = np.bincount(self.block[lists], own * self.most[lists], minlength=self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        place, cosine = self._opened(order[:FIRST], lists, own, k, without)
-        least = cosine[k - 1] - 1e-9 if len(cosine) >= k else 0.0
-        rest = order[FIRST:][bound[order[FIRST:]] >= least]
-        if len(rest):
-            more = self._opened(rest, lists, own, k, without)
-            place, cosine = self._best(np.concatenate((place, more[0])), np.concatenate((cosine, more[1])), k)
-        return place, cosine
-
-    def _opened(self, blocks: np.ndarray, lists: np.ndarray, own: np.ndarray, k: int, without: int | None) -> tuple[np.ndarray, np.ndarray]:
-        open_ = np.zeros(max(1, self.blocks), bool)
-        open_[blocks] = True
-        keep = open_[self.block[lists]]
-        lists, own = lists[keep], own[keep]
-        begin, end = self.start[lists], self.start[lists + 1]
+        column = self.column[at]
+        short = column < 0
+        begin, end = self.start[at[short]], self.start[at[short] + 1]
         post = _ranges(begin, end)
-        s = np.bincount(self.place[post], np.repeat(own, end - begin) * self.w[post], minlength=len(self.ids))
+        s = np.bincount(self.place[post], np.repeat(weight[short], end - begin) * self.w[post], minlength=len(self.ids))
+        own = np.zeros(self.dense.shape[1])
+        own[column[~short]] = weight[~short]
+        reach = s + np.repeat(self.most @ own, BLOCK)[: len(s)]
         if without is not None:
-            s[self.ids == without] = 0
-        hit = np.flatnonzero(s > 0)
-        return self._best(hit, s[hit], k)
+            reach[self.ids == without] = 0
+        place = np.argpartition(reach, -FIRST)[-FIRST:] if len(s) > FIRST else np.arange(len(s))
+        place = place[reach[place] > 0]
+        cosine = s[place] + self.dense[place] @ own
+        reach[place] = 0
+        hit = cosine > 0
+        place, cosine = self._best(place[hit], cosine[hit], k)
+        rest = np.flatnonzero((reach > 0) & (reach >= (cosine[k - 1] - 1e-9 if len(cosine) >= k else 0.0)))
+        if len(rest):
+            more = s[rest] + self.dense[rest] @ own
+            hit = more > 0
+            place, cosine = self._best(np.concatenate((place, rest[hit])), np.concatenate((cosine, more[hit])), k)
+        return place, cosine
 
     def _best(self, place: np.ndarray, cosine: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         if len(place) > 4 * k:
@@ -156,7 +164,7 @@ def distinct_terms(ranked: list[str]) -> list[str]:
 
 
 def machine(terms: list[str]):
-    """An automaton that finds all terms in a text of words with single blanks between."""
+    """An automaton that finds all terms in a word between blanks."""
     import ahocorasick
 
     a = ahocorasick.Automaton()
@@ -167,15 +175,30 @@ def machine(terms: list[str]):
     return a if terms else None
 
 
-def count_terms(text: bytes | None, a, places: dict[str, int]) -> dict[int, int]:
+class Counted(dict):
+    """The numbers of the terms in each word met so far: a word is looked up once, and forgotten as _KNOWN are held."""
+
+    def __init__(self, a, places: dict[str, int]):
+        super().__init__()
+        self.a, self.places = a, places
+
+    def __missing__(self, word: bytes) -> list[int]:
+        w = word.decode("latin-1")
+        found = [self.places[w]] if w in self.places else []
+        if self.a is not None:
+            found += [i for _, i in self.a.iter(f" {w} ")]
+        if len(self) >= _KNOWN:
+            self.clear()
+        self[word] = found
+        return found
+
+
+def count_terms(text: bytes | None, known: Counted) -> dict[int, int]:
     """How often each term and each word of the vocabulary occurs."""
-    words = word_bytes(text)
-    if not words:
-        return {}
-    found = {places[w]: n for w, n in Counter((b"\n".join(words)).decode("latin-1").split("\n")).items() if w in places}
-    if a is not None:
-        flat = b" " + b"  ".join(words) + b" "  # two blanks: one for each word's edge
-        found |= Counter(i for _, i in a.iter(flat.decode("latin-1")))
+    found: dict[int, int] = {}
+    for w, n in Counter(word_bytes(text)).items():
+        for i in known[w]:
+            found[i] = found.get(i, 0) + n
     return found
 
 
@@ -217,9 +240,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, calibrate: i
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms, words = told.value
-        m = machine(terms)
+        known = Counted(machine(terms), words)
         for b in batches:
-            got = [count_terms(t, m, words) for t in b.column(2).to_pylist()]
+            got = [count_terms(t, known) for t in b.column(2).to_pylist()]
             kinds = pa.list_(pa.int32())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([list(g) for g in got], kinds), pa.array([list(g.values()) for g in got], kinds)], ["doc_id", "y", "t", "n"])
 
@@ -261,10 +284,12 @@ def score(docs: DataFrame, index: Index) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = told.value
-        m = machine(own.terms)
+        known = Counted(machine(own.terms), own.words)
         for b in batches:
-            got = [own.score(count_terms(t, m, own.words)) for t in b.column(names.index("text")).cast(pa.binary()).to_pylist()]
-            evidence = pa.array([[{"doc_id": i, "cosine": c, "toxic": y} for i, c, y in e] for _, e in got], kind)
+            got = [own.score(count_terms(t, known)) for t in b.column(names.index("text")).cast(pa.binary()).to_pylist()]
+            near = list(zip(*(x for _, e in got for x in e), strict=True)) or [(), (), ()]
+            each = pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(near, kind.value_type, strict=True)], fields=list(kind.value_type))
+            evidence = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(len(e) for _, e in got)]), pa.int32()), each, kind)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([s for s, _ in got], pa.float64()), evidence], [*names, "score", "evidence"])
 
     schema = T.StructType([*out.schema.fields, T.StructField("score", T.DoubleType()), *T._parse_datatype_string(f"evidence {_EVIDENCE}").fields])

@@ -143,7 +143,7 @@ def test_a_copy_of_an_example_is_its_nearest(spark):
     index = op03_toxicity.train(docs, spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int"))
     texts = dict(rows)
     for i in index.ids[:20].tolist():  # no word tells the label here, so only plain words find the example
-        near = index.vote(op03_toxicity.count_terms(texts[i].encode(), None, index.words))[1]
+        near = index.vote(op03_toxicity.count_terms(texts[i].encode(), op03_toxicity.Counted(None, index.words)))[1]
         assert abs(near[0][1] - 1) < 1e-9 and i in [e[0] for e in near if abs(e[1] - 1) < 1e-9]
 
 
