@@ -93,6 +93,35 @@ def repaired_row(cells: Column, width: int = 4, none: str = "Non spécifié") ->
     return F.when(F.size(cells) == width, named).otherwise(filled)
 
 
+# Words of doses and uses, which are no name; what stands for a registration number.
+USE_WORDS = [
+    "l/ha", "cc/hl", "g/hl", "dose", "volume de", "kg/ha", "teigne",
+    "mildiou", "thrips", "mineuse", "puceron", "acariens", "tuta absoluta",
+    "traitement", "applications", "pulvérisation", "cultures",
+]
+NUMBER_LIKE = r"(?i)[A-Z0-9.\-/]{3,}"
+# End of the fixed values.
+
+
+def origin_row(cells: Column, none: str = "Non spécifié") -> Column:
+    """Product, company, maker and country of a row of any width.
+
+    The country comes last. Rows of four have only these, wider ones a substance first and, unless five cells have
+    nothing like it, a registration number third; five cells with one have no maker. Short rows are filled up as they
+    are; in others, cells that say nothing or speak of doses and uses become none.
+    """
+    def row(c: Column) -> Column:
+        n = F.size(c)
+        bare = (n == 5) & ~F.get(c, F.lit(2)).rlike(NUMBER_LIKE)
+        shift = F.when(n == 4, 1).when(bare, 2).otherwise(3)
+        maker = F.when((n == 5) & ~bare, F.lit(none)).otherwise(F.get(c, shift + 1))
+        named = F.array(F.get(c, F.when(n == 4, 0).otherwise(1)), F.get(c, shift), maker, F.get(c, n - 1))
+        said = F.transform(named, lambda x: F.when(F.lower(x).isin("", "none", "null", "nan") | F.lower(x).rlike("|".join(USE_WORDS)), none).otherwise(x))
+        return F.when(n < 4, F.slice(F.concat(c, F.array_repeat(F.lit(none), 4)), 1, 4)).otherwise(said)
+
+    return let(F.transform(cells, strip), row)
+
+
 def positional_pairs(a: Column, b: Column) -> Column:
     """Pairs of items at like places, to the end of the shorter list."""
     n = F.least(F.size(a), F.size(b))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexalign.plans.queries import QUERIES, SQL
+from lexalign.plans.view_queries import QUERIES, SQL
 
 
 def queries() -> dict:
