@@ -1,14 +1,12 @@
-"""Text normalisation as column expressions; nothing here leaves the JVM but fold_exact()."""
+"""Text normalisation as column expressions; nothing here leaves the JVM."""
 
 from __future__ import annotations
 
 import unicodedata
-from functools import reduce
+from functools import cache, reduce
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 
 def _folding() -> tuple[str, str]:
@@ -48,15 +46,54 @@ def squeeze(c: Column) -> Column:
     return strip(F.regexp_replace(c, f"{SPACE}+", " "))
 
 
-def fold(c: Column) -> Column:
-    """Letters without their accents: Latin ones by table, free-standing marks dropped."""
-    return F.regexp_replace(F.translate(c, _FROM, _TO), r"\p{M}", "")
+def _class(chars: list[str]) -> str:
+    """A pattern for any of the characters, which are in order; neighbours make up a range."""
+    spans: list[list[int]] = []
+    for c in map(ord, chars):
+        if spans and c == spans[-1][1] + 1:
+            spans[-1][1] = c
+        else:
+            spans.append([c, c])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in spans) + "]"
+
+
+@cache
+def _decompositions() -> tuple[str, str, str, str, str, str]:
+    """Characters that decompose to one without marks, and that one; those that give several, these, and a pattern for
+    them; a pattern for marks."""
+    one, many, marks = {}, {}, []
+    for c in map(chr, [*range(0x80, 0xAC00), *range(0xF900, 0x30000)]):
+        if unicodedata.combining(c):
+            marks.append(c)
+        elif unicodedata.decomposition(c):
+            base = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+            if base != c:
+                (one if len(base) == 1 else many)[c] = base
+    return "".join(one), "".join(one.values()), "".join(many), "\x01".join(many.values()), _class([*many]), _class(marks)
+
+
+_LEADS, _VOWELS, _TAILS = ("".join(map(chr, range(a, a + n))) for a, n in ((0x1100, 19), (0x1161, 21), (0x11A8, 27)))
+
 
+def _decomposed(s: Column) -> Column:
+    one, to, many, parts, any_many, marks = _decompositions()
 
-@F.pandas_udf(StringType())
-def fold_exact(s: pd.Series) -> pd.Series:
-    """Full compatibility decomposition without combining marks, for texts beyond the Latin letters that fold() has."""
-    return s.map(lambda v: None if v is None else "".join(x for x in unicodedata.normalize("NFKD", v) if not unicodedata.combining(x)))
+    def syllable(x: Column) -> Column:
+        i = F.ascii(x) - 0xAC00
+        return F.concat(F.substring(F.lit(_LEADS), F.floor(i / 588).cast("int") + 1, F.lit(1)), F.substring(F.lit(_VOWELS), F.floor(i % 588 / 28).cast("int") + 1, F.lit(1)),
+                        F.when(i % 28 > 0, F.substring(F.lit(_TAILS), (i % 28).cast("int"), F.lit(1))).otherwise(""))
+
+    def apart(x: Column) -> Column:
+        known = F.get(F.split(F.lit(parts), "\x01"), F.instr(F.lit(many), x) - 1)
+        return F.when(x == "", x).when(x.between("가", "힣"), syllable(x)).otherwise(F.coalesce(known, x))
+
+    whole = let(F.translate(s, one, to), lambda v: F.when(v.rlike(f"{any_many}|[가-힣]"), F.array_join(F.transform(F.split(v, ""), apart), "")).otherwise(v))
+    return F.regexp_replace(whole, marks, "")
+
+
+def fold(c: Column) -> Column:
+    """Compatibility decomposition without combining marks; accented Latin letters by table, so that few texts need more."""
+    return let(F.translate(c, _FROM, _TO), lambda s: F.when(s.rlike(r"[^\x00-\x7F]"), _decomposed(s)).otherwise(s))
 
 
 def _quotes(c: Column) -> Column:

@@ -18,6 +18,13 @@ def test_normalize(spark):
     many(spark, [("Alphaméthrine", "alphamethrine"), ("Piége de phéromone", "piege de pheromone"), ("Azadirachtine (0,03 %)", "azadirachtine"), (None, ""), ("  ", "")], text.normalize)
 
 
+def test_fold(spark):
+    import unicodedata
+
+    texts = ["plain", "ﬁn ½ ế", "Ω™ ㎏ Å …", "한글 각", "𝐀b ά й", "क़ कि", "ȩ́", "ẞ ß ŉ ǆ", "①② ﷺ", "´`’", ""]
+    many(spark, [(x, "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c))) for x in texts], text.fold)
+
+
 def test_clean(spark):
     many(
         spark,
