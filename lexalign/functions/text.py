@@ -22,6 +22,7 @@ def _folding() -> tuple[str, str]:
 _FROM, _TO = _folding()
 #: Spaces as Python's str.strip() and \s take them.
 SPACE = r"[\s\x0B\x1C-\x1F\x85\xA0  -     　]"
+_BLANKS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 
 def col(c: Column | str) -> Column:
@@ -39,7 +40,7 @@ def text_of(c: Column | str, compat_nan: bool = False) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(c, F.lit(_BLANKS))
 
 
 def squeeze(c: Column) -> Column:
