@@ -278,7 +278,7 @@ def rolled_up(spark, d):
   SELECT CAST(user_id AS VARCHAR) AS norm, event_id, ['', 'review', 'accept', 'reject'][CAST(value AS BIGINT) % 4 + 1] AS decision, event_type AS match_name FROM events)) WHERE n = 1""")
 def decision_index(spark, d):
     e = t(spark, d, "events")
-    dec = F.element_at(F.array(*map(F.lit, ("", "review", "accept", "reject"))), (F.round("value").cast("long") % 4 + 1).cast("int"))
+    dec = F.element_at(F.array(*map(F.lit, ("", "review", "accept", "reject"))), (F.rint("value").cast("long") % 4 + 1).cast("int"))
     rows = e.select(F.col("user_id").cast("string").alias("norm"), F.col("event_id").alias("row"), F.lit(1).alias("slot"), dec.alias("decision"), F.col("event_type").alias("match_name"), F.lit("").alias("notes"))
     return review.decision_index(rows).drop("notes")
 

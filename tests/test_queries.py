@@ -23,6 +23,12 @@ def test_entry(spark):
     assert e.entry(spark).count() == 200
 
 
+def test_decision_index_rounds_halves_to_even(spark, tmp_path):
+    rows = [(i, i, float(i) / 2, "click") for i in range(12)]
+    spark.createDataFrame(rows, "event_id long, user_id long, value double, event_type string").toPandas().to_parquet(tmp_path / "events.parquet")
+    assert_same(spark, registry.queries()["decision_index"], registry.oracle_sql()["decision_index"], str(tmp_path))
+
+
 def test_clean_names_at_edges_of_words(spark, tmp_path):
     texts = ["gewiß, gern", "maß. lich 5 g", "gern, gewiß", "5ß 3 g/l", "œsel sel œ", "sel de maß", "λ, kg λ", "a, g b", "β-1,5 g/kg", "ß12 ufc"]
     spark.createDataFrame([(1, i, x) for i, x in enumerate(texts)], "conv_id long, turn int, text string").toPandas().to_parquet(tmp_path / "conversations.parquet")
