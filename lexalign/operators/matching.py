@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 from pyspark.sql.window import Window
 
 from lexalign.functions.regulatory import first_named, rollup_status
-from lexalign.functions.similarity import cosine, merged_score, percent, wratio_udf
+from lexalign.functions.similarity import merged_score, percent, top_cosines, wratio_udf
 from lexalign.functions.text import clean_unit, normalize, strip, text_of
 
 
@@ -89,14 +91,33 @@ def fuzzy_top(units: DataFrame, cands: DataFrame, k: int = 5) -> DataFrame:
     return ranked.select("norm", "rank", "cand_name", "cand_status", "cand_id", F.bround("raw", 0).cast("int").alias("score"))
 
 
-def semantic_top(queries: DataFrame, index: DataFrame, k: int = 5) -> DataFrame:
+#: Queries and items of a block of semantic_top(), and numbers in a block of items.
+BLOCK_QUERIES, BLOCK_ITEMS, BLOCK_NUMBERS = 4096, 16_384, 1 << 23
+
+
+def semantic_top(queries: DataFrame, index: DataFrame, k: int = 5, block_queries: int = BLOCK_QUERIES, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """query_id, rank, item_id, similarity: each query's k items of largest cosine, ties by item.
 
-    queries: query_id, query_vec; index: item_id, item_vec. The index is the bounded reference; beyond the broadcast
-    bound the same plan runs over shuffled blocks.
+    queries: query_id, query_vec; index: item_id, item_vec; items without a vector take no part. All queries meet all
+    items, in blocks: each block of queries meets each block of items once, and of what the blocks give the k best stay.
     """
-    pairs = queries.join(small(index), F.size("item_vec") >= 0)
-    scored = pairs.select("query_id", "item_id", cosine(F.col("query_vec"), F.col("item_vec")).alias("similarity"))
+    def listed(df: DataFrame, vec: str) -> Column:
+        kind = df.schema[vec].dataType.simpleString()
+        return F.col(vec) if kind in ("array<float>", "array<double>") else F.col(vec).cast("array<double>")
+
+    q, x = queries.select("query_id", listed(queries, "query_vec").alias("query_vec")), index.where("item_vec is not null").select("item_id", listed(index, "item_vec").alias("item_vec"))
+    asked, (n, width) = q.count(), x.agg(F.count("*"), F.coalesce(F.max(F.size("item_vec")), F.lit(0))).first()
+    width = max(1, width)
+    parts, blocks = max(1, -(-asked // block_queries)), max(1, -(-n // min(block_items, max(256, BLOCK_NUMBERS // width))))
+    q = q.select("*", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int").alias("_q"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_x"))
+    x = x.select("*", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_q"), F.pmod(F.xxhash64("item_id"), F.lit(blocks)).cast("int").alias("_x"))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        i, j, score = top_cosines(left, right, k)
+        return pa.table([left.column("query_id").take(pa.array(i)), right.column("item_id").take(pa.array(j)), score], names=["query_id", "item_id", "similarity"])
+
+    kind = StructType([StructField("query_id", q.schema["query_id"].dataType), StructField("item_id", x.schema["item_id"].dataType), StructField("similarity", DoubleType())])
+    scored = q.groupBy("_q", "_x").cogroup(x.groupBy("_q", "_x")).applyInArrow(run, kind)
     best = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "item_id")
     return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 

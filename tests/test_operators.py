@@ -1,5 +1,9 @@
+import random
+
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from lexalign.functions import similarity
 from lexalign.operators import audit, extract, hazards, matching, review
 from lexalign.sources import files
 
@@ -60,6 +64,23 @@ def test_merge_rule(spark):
     assert got == [("Deltamethrin", 90.0), ("Chlorpyrifos", 88.5), ("Cypermethrin", 67.5)]
 
 
+def test_semantic_top_in_blocks(spark):
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(6)]) for i in range(120)] + [(i, [1.0, 2.0, 0.0, 0.0, 0.0, 0.5]) for i in range(120, 140)] + [(i, [0.0] * 6) for i in range(140, 150)]
+    rows += [(150, None), (151, []), (152, [1.0, None, 2.0, 0.0, 0.0, 0.0]), (153, [float("nan")] * 6), (154, [float("inf"), 1.0, 0.0, 0.0, 0.0, 0.0]), (155, [1e-170] * 6), (156, [1e200] * 6), (157, [1.0, 2.0, 0.0]), (158, [1.0] * 7)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    q, x = df.toDF("query_id", "query_vec"), df.toDF("item_id", "item_vec")
+    pairs = q.join(x, F.size("item_vec") >= 0).select("query_id", "item_id", similarity.cosine(F.col("query_vec"), F.col("item_vec")).alias("similarity"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), "item_id"))
+    for k, *blocks in ((5,), (5, 40, 70), (200, 40, 70)):
+        want = sorted((r["query_id"], r["rank"], r["item_id"], repr(r["similarity"])) for r in pairs.withColumn("rank", rank).where(F.col("rank") <= k).collect())
+        got = matching.semantic_top(q, x, k, *blocks)
+        assert sorted((r["query_id"], r["rank"], r["item_id"], repr(r["similarity"])) for r in got.collect()) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan  # pairs of vectors are no rows
+    assert matching.semantic_top(q.limit(0), x).count() == 0 == matching.semantic_top(q, x.limit(0)).count()
+
+
 def test_audit(spark):
     a = spark.createDataFrame([("É", "1"), (None, "2")], "k string, v string")
     b = spark.createDataFrame([(" e ", "3"), (None, "4"), ("z", "5")], "k string, v string")
