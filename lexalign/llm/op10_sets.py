@@ -1,9 +1,15 @@
 """op10's wide setting: texts linked by word-shingle similarity of 4/5 or more, exactly.
 
-The fingerprint is the set of shingle hashes here, and pairs are discarded by pivot tables as in the narrow setting. The
-references are all unions of REGIONS equal regions of hash space; a set's distance to a reference, the size of the
-symmetric difference, follows from its counts in the regions, which are its table. The greatest difference of two sets'
-distances to any of the 2^REGIONS references is the sum over the regions of their counts' differences.
+The signs that a SimHash keeps of its sums lose links at this width, so the fingerprint is the set of shingle hashes, and
+its distance to a reference, a set of hashes too, is the size of the symmetric difference. Pivot distance tables are the
+search key and discard pairs, as in the narrow setting:
+
+* Hash space is cut into parts, and each part has a family of references: nothing, and for each of the low bits the
+  part's hashes that have it set. The differences of a set's distances to them are, but for sign and constants, the sums
+  that SimHash takes over the set's hashes in the part. Sets meet in buckets of equal differences within a family.
+* The references of the second table are all unions of REGIONS equal regions; the distances follow from a set's counts in
+  the regions, which are its table. The greatest difference of two sets' distances to any of the 2^REGIONS references is
+  the sum over the regions of their counts' differences.
 """
 
 from __future__ import annotations
@@ -20,6 +26,10 @@ from .op10_simhash import components, named_groups
 
 #: Words in a shingle; links are pairs of 4/5 similarity or more.
 SHINGLE, SEED = 5, 42
+#: Sets of fewer shingles have parts of a single hash, of 2^FINEST parts; larger ones have 1.25 to 2.5 shingles a part.
+FEW, FINEST = 128, 64
+#: A byte's bits in a byte each, so that sums over up to 255 hashes stay apart.
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8).reshape(-1, 1), axis=1, bitorder="little").copy().view("<u8").ravel()
 #: Buckets of up to so many shingle sets give all their pairs at once; larger ones first a few pairs a member.
 SMALL = 8
 #: Members of a large bucket that all others meet in the second round.
@@ -27,8 +37,9 @@ HUBS = 3
 #: Documents that tell which shingles are common, and shingles named so. They only order shingles: any order is exact.
 SAMPLE, COMMON = 4000, 100_000
 _BLOCK = 512
-#: Regions of hash space that the pivot tables count in.
-REGIONS, _ROUGH = 1024, 64
+#: Regions of hash space that the pivot tables count in, larger ones that pairs of large buckets are held against first,
+#: and those that they are held against before that.
+REGIONS, _ROUGH, _COARSE = 1024, 512, 64
 _SHIFT = np.uint64(64 - 10)
 _NAMES = ["u", "v", "token", "n", "pos"]
 _FOUND = "u long, v long, token long, n long, pos long"
@@ -79,6 +90,47 @@ def _common(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return token.view(np.uint64)[order], n[order]
 
 
+def most_unlike(n: int, parts: int) -> int:
+    """The most family keys of a set of n that one alike can lack: a key for each hash that one of the two lacks, or, where
+    parts are single hashes, for each that the other lacks; see alike()."""
+    return n // 5 if parts == FINEST else (n + 5 * n // 4) // 9
+
+
+def level(n: int) -> int:
+    """The logarithm of the number of parts in which a set of n looks for others of its size or more."""
+    return FINEST if n < FEW else (4 * n // 5).bit_length() - 1
+
+
+def family_keys(own: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each of the 2^parts parts that hold some of a set's sorted hashes, where these start and a hash of the
+    differences of the set's distances to the part's references."""
+    part = own >> np.uint64(64 - parts)
+    start = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+    sums = np.add.reduceat(_SPREAD[own.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :4]], start, axis=0)
+    key = part[start] * np.uint64(64) + np.uint64(parts)
+    for c in range(sums.shape[1]):
+        key = (key ^ sums[:, c]) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    return start, key
+
+
+def search_keys(own: np.ndarray, rank: np.ndarray) -> list[np.ndarray]:
+    """The family keys that a set is found by, at its level and at that of sets 4/5 as large; rank: how common its hashes are.
+
+    Two sets that differ in t hashes have unlike keys in t families at most, so of two that are alike either lacks no more
+    than most_unlike() of the other's keys, and they share one of the first most_unlike() + 1 of both in any common order,
+    if one of them has more than that.
+    """
+    n, out = len(own), []
+    for parts in dict.fromkeys((level(n), level((4 * n + 4) // 5))):
+        start, key = family_keys(own, parts)
+        most = most_unlike(n, parts)
+        if len(key) <= most and parts == level(n):
+            raise ValueError(f"{n} shingles lie in {len(key)} of 2^{parts} parts, too few to find all links")
+        out.append(key[np.lexsort((key, np.minimum.reduceat(rank, start)))][: most + 1])
+    return out
+
+
 def regions(own: np.ndarray) -> bytes:
     """How many of a set's hashes lie in each region, as two-byte numbers; counts that don't fit are cut, which lessens
     differences only."""
@@ -97,15 +149,15 @@ def gaps(x: list[bytes], y: list[bytes]) -> np.ndarray:
 
 
 def _prefixes(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, node (hash of the shingle set), n (its size), coord (regions()), rough (rough_of()) and prefix: the
-    n - ceil(4n/5) + 1 least common shingles."""
+    """doc_id, text_hash, node (hash of the shingle set), n (its size), coord (regions()), rough (rough_of()), prefix (all of
+    search_keys()) and own (how many of these are of the set's level)."""
     small_batches(spark)
     told = spark.sparkContext.broadcast(_common(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, often = told.value
         for b in batches:
-            node, n, prefix, coord, rough = [], [], [], [], []
+            node, n, prefix, coord, rough, first = [], [], [], [], [], []
             for text in b.column(2).to_pylist():
                 own = shingles(text)
                 rank = np.zeros(len(own), np.int64)
@@ -116,19 +168,22 @@ def _prefixes(spark: SparkSession, docs: DataFrame) -> DataFrame:
                 n.append(len(own))
                 coord.append(regions(own))
                 rough.append(rough_of(coord[-1]))
-                prefix.append(own[np.lexsort((own, rank))][: len(own) - (4 * len(own) + 4) // 5 + 1].view(np.int64))
-            cols = [pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(coord, pa.binary()), pa.array(rough, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:2], *cols], ["doc_id", "text_hash", "node", "n", "coord", "rough", "prefix"])
+                keys = search_keys(own, rank) if len(own) else [np.empty(0, np.uint64)]
+                first.append(len(keys[0]))
+                prefix.append(np.concatenate(keys).view(np.int64))
+            cols = [pa.array(node, pa.int64()), pa.array(n, pa.int32()), pa.array(coord, pa.binary()), pa.array(rough, pa.binary()), pa.array(prefix, pa.list_(pa.int64())), pa.array(first, pa.int32())]
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], *cols], ["doc_id", "text_hash", "node", "n", "coord", "rough", "prefix", "own"])
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
-    return own.mapInArrow(run, "doc_id long, text_hash long, node long, n int, coord binary, rough binary, prefix array<long>")
+    return own.mapInArrow(run, "doc_id long, text_hash long, node long, n int, coord binary, rough binary, prefix array<long>, own int")
 
 
 def _pairs(rest: bool, hubs: int = 0):
-    """Pairs to verify, for partitions that hold whole buckets (sets with one prefix shingle).
+    """Pairs to verify, for partitions that hold whole buckets (sets with equal distance differences in a family).
 
-    The first shingle two sets share, at places i and j of theirs, leaves min(n - i, m - j) in common at most, so a pair
-    that is not alike by that goes. Not rest: all pairs of small buckets, and for each member of larger ones those with
+    The first key two sets share, at places i and j of theirs, has i keys before it in one set and j in the other that
+    tell them apart. Where the smaller set has parts of single hashes, that leaves min(n - i, m - j) in common at most;
+    else they differ in max(i, j) hashes at least. A pair that is not alike by that goes. Not rest: all pairs of small buckets, and for each member of larger ones those with
     the least and the greatest node there, which are the same in most buckets of a group of copies; the members
     themselves come behind, with their shingle and no partner. rest: all pairs of larger buckets whose roots differ and
     that the rough pivot tables leave, without a look at those within a large group of one root; with hubs, of these only those with the hubs members nearest to the bucket's mean
@@ -143,6 +198,7 @@ def _pairs(rest: bool, hubs: int = 0):
         order = np.lexsort((node, n, token))
         token, node, n, pos, root = (c[order] for c in (token, node, n.astype(np.int64), pos.astype(np.int64), root))
         rough = np.frombuffer(b"".join(x for g in got for x in g[5]), np.uint8).reshape(-1, _ROUGH)[order] if rest else None
+        coarse = rough.reshape(len(rough), _COARSE, -1).sum(2, dtype=np.int32) if rest else None
         cut = np.concatenate(([0], np.flatnonzero(np.diff(token)) + 1, [len(token)]))
         size = np.diff(cut)
         found: list[np.ndarray] = []
@@ -150,13 +206,18 @@ def _pairs(rest: bool, hubs: int = 0):
 
         def take(i: np.ndarray, j: np.ndarray) -> None:
             nonlocal held, found
-            keep = (node[i] != node[j]) & alike(np.minimum(n[i] - pos[i], n[j] - pos[j]), n[i], n[j])
+            low, both = np.minimum(n[i], n[j]), n[i] + n[j]
+            most = np.where(low < FEW, np.minimum(n[i] - pos[i], n[j] - pos[j]), np.minimum(low, (both - np.maximum(pos[i], pos[j])) // 2))
+            keep = (node[i] != node[j]) & alike(most, n[i], n[j])
             if rest:
                 keep &= root[i] != root[j]
             i, j = i[keep], j[keep]
             if rest and len(i):
-                keep = 9 * np.abs(rough[i].astype(np.int16) - rough[j]).sum(1, dtype=np.int64) <= n[i] + n[j]
-                i, j = i[keep], j[keep]
+                for counts in (coarse, rough):
+                    parts = [slice(at, at + 8192) for at in range(0, len(i), 8192)]
+                    keep = [9 * np.abs(counts[i[p]].astype(np.int32) - counts[j[p]]).sum(1, dtype=np.int64) <= n[i[p]] + n[j[p]] for p in parts]
+                    keep = np.concatenate(keep) if keep else np.empty(0, bool)
+                    i, j = i[keep], j[keep]
             if len(i):
                 found.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])], 1))
                 held += len(i)
@@ -191,7 +252,8 @@ def _pairs(rest: bool, hubs: int = 0):
                 if (root[s:e] == root[s]).all():
                     continue
                 if hubs:
-                    far = np.abs(rough[s:e] - rough[s:e].mean(0)).sum(1)
+                    mean = rough[s:e].mean(0, dtype=np.float64)
+                    far = np.concatenate([np.abs(rough[at : min(at + 16_384, e)] - mean).sum(1) for at in range(s, e, 16_384)])
                     for c in (np.lexsort((node[s:e], far))[:hubs] + s).tolist():
                         take(np.arange(s, e), np.full(e - s, c))
                     continue
@@ -279,9 +341,8 @@ def similar_texts(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     has another id; rows that repeat a doc_id are rows of their own, and unlike texts of one id are in groups of their
     own. An empty table gives no rows; other columns play no part.
 
-    All links count: two sets that are 4/5 similar share one of the n - ceil(4n/5) + 1 first shingles of both in any
-    common order, so the sets meet in buckets of these, rarer shingles first; pairs that the pivot tables leave are
-    verified on their whole sets. Large buckets link a few pairs a member first, in two rounds, and compare all pairs after
+    All links count: pivot distances are the search key, so the sets meet in buckets of search_keys(), those with rarer
+    shingles first; pairs that the table of regions leaves are verified on their whole sets. Large buckets link a few pairs a member first, in two rounds, and compare all pairs after
     that whose members are not yet in one component.
     """
     if shingle != SHINGLE:
@@ -291,10 +352,11 @@ def similar_texts(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     own = written(spark, _prefixes(spark, docs), "prefixes")
     rows = written(spark, own.select("doc_id", "text_hash", "node"), "rows")
     groups = rows.groupBy("node").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"), F.min("text_hash").alias("text_hash"))
-    nodes = written(spark, own.where("n > 0").dropDuplicates(["node"]).select("node", "n", "coord", "rough", "prefix"), "nodes", settle=True)
+    nodes = written(spark, own.where("n > 0").dropDuplicates(["node"]).select("node", "n", "coord", "rough", "prefix", "own"), "nodes", settle=True)
     let_go(own)
 
-    tokens = nodes.select(F.posexplode("prefix").alias("pos", "token"), "node", "n").select("token", "node", "n", "pos", F.col("node").alias("root"))
+    tokens = nodes.select(F.posexplode("prefix").alias("pos", "token"), "node", "n", "own")
+    tokens = tokens.select("token", "node", "n", F.when(F.col("pos") < F.col("own"), F.col("pos")).otherwise(F.col("pos") - F.col("own")).alias("pos"), F.col("node").alias("root"))
     found = written(spark, tokens.repartition(parts, "token").mapInArrow(_pairs(False), _FOUND), "candidates", settle=True)
     pairs = _near(spark, found.where("token is null").select("u", "v").distinct(), nodes)
     sets = written(spark, _sets(docs, _nodes_of(pairs), groups), "shingle-sets", settle=True)

@@ -568,3 +568,59 @@ def test_last_round_meets_all_unlike_roots(roots, common):
                 want.add((int(node[i]), int(node[j])))
     assert got == want
     assert bool(want) == (roots > 1)
+
+
+def test_op10_family_keys_are_differences_of_distances():
+    from lexalign.llm import op10_sets as sets
+
+    rng = np.random.default_rng(4)
+    own = np.unique(rng.integers(0, 2**64, 40, dtype=np.uint64))
+    told: dict[tuple, set[int]] = {}
+    for x in (own, own[5:], own[:-3], np.unique(np.concatenate([own[::2], rng.integers(0, 2**64, 20, dtype=np.uint64)]))):
+        start, key = sets.family_keys(x, 3)
+        assert len(start) == len(key) == len(np.unique(x >> np.uint64(61)))
+        for s, k in zip(start, key, strict=True):
+            there = x[(x >> np.uint64(61)) == x[s] >> np.uint64(61)]
+            # distance to a reference: |x| + |reference| - 2 |both|; less that to the empty one and the reference's size
+            told.setdefault((int(x[s]) >> 61, *(-2 * int((there >> np.uint64(b) & np.uint64(1)).sum()) for b in range(32))), set()).add(int(k))
+    assert all(len(k) == 1 for k in told.values()) and len({*(k for ks in told.values() for k in ks)}) == len(told)
+
+
+def test_op10_alike_sets_share_a_key():
+    from lexalign.llm import op10_sets as sets
+
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 5, 9, 20, 127, 128, 140, 159, 160, 200, 319, 320, 480, 640, 1000):
+        for _ in range(20):
+            own = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+            m = int(rng.integers(-(-4 * n // 5), 5 * n // 4 + 1))
+            both = -(-4 * (n + m) // 9)  # as few as alike() lets pass
+            if both > min(n, m):
+                continue
+            other = np.unique(np.concatenate([rng.permutation(own)[:both], rng.integers(0, 2**64, m - both, dtype=np.uint64)]))
+            assert sets.alike(both, n, m)
+            x, y = ({*np.concatenate(sets.search_keys(s, (s % np.uint64(7)).astype(np.int64))).tolist()} for s in (own, other))
+            assert x & y
+
+
+def test_op10_similarity_of_long_texts(spark):
+    from lexalign.llm import op10_sets as sets
+
+    rng = np.random.default_rng(6)
+    rows = []
+    for size in (100, 126, 135, 158, 163, 185, 318, 325, 390, 640):  # about the sizes where the parts change
+        base = [f"w{i}" for i in rng.integers(0, 3000, size)]
+        for _ in range(5):
+            w = list(base)
+            for at in rng.integers(0, len(w), rng.integers(0, size // 40 + 2)):
+                w[at] = f"n{rng.integers(0, 3000)}"
+            rows.append((len(rows), " ".join(w[: len(w) - int(rng.integers(0, size // 6))])))
+    got = {r["doc_id"]: r["component_id"] for r in sets.similar_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hashes = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for _, t in rows]
+    want = [*range(len(rows))]
+    for i in range(len(rows)):
+        for j in range(i):
+            if 5 * len(hashes[i] & hashes[j]) >= 4 * len(hashes[i] | hashes[j]):
+                low, high = sorted((want[i], want[j]))
+                want = [low if x == high else x for x in want]
+    assert [got[i] for i in range(len(rows))] == want and len(set(want)) < len(rows)
